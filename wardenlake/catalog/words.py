@@ -293,7 +293,7 @@ _CHAINED = {
     "fn7_domain_parts": domain_sql("v_dns", "dns_qry_name") + "select dns_qry_name, domain, subdomain from parts",
     "fn7_host_domains": domain_sql("v_proxy", "host") + "select host, domain, subdomain from parts",
     "fn8_domain_info": domain_sql("v_dns", "dns_qry_name") + "," + _INFO
-    + "select dns_qry_name, domain, top_domain, subdomain, subdomain_length, round(subdomain_entropy, 9) as subdomain_entropy, n as num_periods from info",
+    + "select dns_qry_name, domain, top_domain, subdomain, cast(subdomain_length as int) as subdomain_length, round(subdomain_entropy, 9) as subdomain_entropy, cast(n as int) as num_periods from info",
     "fn9_host_class": domain_sql("v_proxy", "host") + "select host, fulluri, case when domain = 'intel' then 2 when in_top then 1 else 0 end as host_class from parts",
     "fn10_flow_words": flow_word_sql("v_flow") + "select treceived, sip, dip, src_word, dst_word from fw",
     "fn11_dns_words": dns_word_sql() + "select unix_tstamp, ip_dst, dns_qry_name, word from dw",

@@ -307,6 +307,10 @@ _VIEWS["v_http_code"] = """
 select * from (values ('200', 'OK'), ('302', 'Found'), ('404', 'Not Found'), ('500', 'Internal Server Error')) as t(k, name)
 """
 
+_VIEWS["v_suffixes"] = """
+select * from (values ('com'), ('net'), ('org'), ('jp'), ('mx'), ('com.mx'), ('uk'), ('co.uk'), ('arpa')) as t(suffix)
+"""
+
 VIEW_NAMES = tuple(_VIEWS)
 
 

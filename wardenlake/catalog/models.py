@@ -12,7 +12,7 @@ from ..operators.detectors import autoencoder, density, forest, oneclass
 from ..operators.ranges import distinct_addresses
 from ..plans import netflow_features as nf
 from ..plans import suspicious
-from ..session import cut_lineage, work_path
+from ..session import spread_and_cut, work_path
 from ..sources import feedback, files, sinks
 from .enrichment import anchors
 from .features import _CONS, autoencoder_steps, detector_features
@@ -119,7 +119,7 @@ def _(d):
 
 
 def _features(d):
-    return cut_lineage(detector_features(d))
+    return spread_and_cut(detector_features(d))
 
 
 @query("ml10_isolation_forest")
@@ -153,7 +153,7 @@ def _(d):
 @query("ml12_ml13_flt16_autoencoder_outliers")
 def _(d):
     flow = d.view("v_flow")
-    rows = cut_lineage(autoencoder_steps(flow).fit(flow).transform(flow).select("treceived", "sip", "dip", "sport", "dport", "proto", "ipkt", "ibyt", "features"))
+    rows = spread_and_cut(autoencoder_steps(flow).fit(flow).transform(flow).select("treceived", "sip", "dip", "sport", "dport", "proto", "ipkt", "ibyt", "features"))
     model = autoencoder.fit_autoencoder(rows, epochs=3)
     return model.outliers(rows).drop("features")
 
@@ -189,7 +189,7 @@ def _(d):
 @query("ml16_cross_validation")
 def _(d):
     train, _test = _split(d)
-    _model, scores = classify.cross_validated_forest(cut_lineage(train), trees=5, folds=3, depths=(6, 8), subsets=("auto",))
+    _model, scores = classify.cross_validated_forest(spread_and_cut(train), trees=5, folds=3, depths=(6, 8), subsets=("auto",))
     return d.spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "point int, accuracy double")
 
 
@@ -221,7 +221,7 @@ def _(d):
 @query("ml18_ml19_network")
 def _(d):
     rows = d.view("v_labelled")
-    models, labels = classify.fold_ensemble(cut_lineage(rows), ["tr", "sa", "da", "sp", "dp"], folds=2, iterations=30)
+    models, labels = classify.fold_ensemble(spread_and_cut(rows), ["tr", "sa", "da", "sp", "dp"], folds=2, iterations=30)
     return classify.network_output(models, labels, rows).select("tr", "sa", "da", "sp", "dp", "predictedLabel", "prob")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.words import SCORE_ERROR, WORD_ERROR
-from ..session import cut_lineage, shared_dir, work_path
+from ..session import cut_lineage, shared_dir, spread_and_cut, work_path
 from .indexing import dense_index
 
 
@@ -102,7 +102,7 @@ def fit_topics(
     corpus = cut_lineage(corpus)
     words = cut_lineage(dense_index(corpus, "word"))
     # The row ids that link documents to the model need a fixed table.
-    vectors = cut_lineage(doc_vectors(corpus, words))
+    vectors = spread_and_cut(doc_vectors(corpus, words))
     lda = LDA(k=k, maxIter=max_iter, optimizer=optimizer, docConcentration=[alpha], topicConcentration=beta)
     if seed is not None:
         lda = lda.setSeed(seed)

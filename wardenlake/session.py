@@ -41,6 +41,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread_and_cut(df: DataFrame) -> DataFrame:
+    """Checkpoint for data that many passes will read: rows are spread over at least as
+    many partitions as there are cores, whatever adaptive execution had merged."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(df.repartition(parts))
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings the library relies on (all are changeable at run time)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -175,13 +175,14 @@ def _(d):
 
 
 def _split(d):
-    return records.hash_split(d.view("v_labelled"), ["tr", "sa", "da", "sp", "dp", "ipkt", "ibyt"])
+    rows = spread_and_cut(d.view("v_labelled"))
+    return records.hash_split(rows, ["tr", "sa", "da", "sp", "dp", "ipkt", "ibyt"])
 
 
 @query("ml15_agg26_forest_accuracy")
 def _(d):
     train, test = _split(d)
-    model = classify.forest_pipeline(d.view("v_labelled")).fit(train)
+    model = classify.forest_pipeline(train).fit(train)
     accuracy, error = classify.accuracy_of(model.transform(test))
     return d.spark.createDataFrame([(accuracy, error)], "accuracy double, error double")
 
@@ -189,7 +190,7 @@ def _(d):
 @query("ml16_cross_validation")
 def _(d):
     train, _test = _split(d)
-    _model, scores = classify.cross_validated_forest(spread_and_cut(train), trees=5, folds=3, depths=(6, 8), subsets=("auto",))
+    _model, scores = classify.cross_validated_forest(train, trees=5, folds=3, depths=(6, 8), subsets=("auto",))
     return d.spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "point int, accuracy double")
 
 
@@ -199,14 +200,16 @@ def _scored_flows(d):
 
 @query("ml17_fn38_flt17_threats")
 def _(d):
-    model = classify.forest_pipeline(d.view("v_labelled")).fit(_split(d)[0])
+    train = _split(d)[0]
+    model = classify.forest_pipeline(train).fit(train)
     results = classify.classify_flows(model, _scored_flows(d), date(2024, 1, 31))
     return classify.distinct_threats(classify.threats(results), ["trtime", "da", "sp", "dp", "ipkt", "ibyt"])
 
 
 @query("snk8_classifier_outputs")
 def _(d):
-    model = classify.forest_pipeline(d.view("v_labelled")).fit(_split(d)[0])
+    train = _split(d)[0]
+    model = classify.forest_pipeline(train).fit(train)
     path = work_path(d.spark, "rf")
     model.save(path)
     from pyspark.ml import PipelineModel

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import bind
+
 # Right ends of the entropy bins; the last bin is open.
 ENTROPY_CUTS = (
     0.0, 0.3, 0.6, 0.9, 1.2,
@@ -30,26 +32,24 @@ def ceil_log2(x: Column) -> Column:
 
 def bin_index(value: Column, cuts=ENTROPY_CUTS) -> Column:
     """First index whose cut is at or above the value, -1 if there is none."""
-    cuts = [float(c) for c in cuts]
-    out = None
-    for i, cut in enumerate(cuts):
-        test = value <= F.lit(cut)
-        out = F.when(test, F.lit(i)) if out is None else out.when(test, F.lit(i))
-    return F.when(value.isNull(), F.lit(None).cast("int")).otherwise(out.otherwise(F.lit(-1)))
+    def choose(v: Column) -> Column:
+        out = F.when(v.isNull(), F.lit(None).cast("int"))
+        for i, cut in enumerate(cuts):
+            out = out.when(v <= F.lit(float(cut)), F.lit(i))
+        return out.otherwise(F.lit(-1))
+
+    return bind(value, choose)
 
 
 def shannon_entropy(text: Column) -> Column:
     """Entropy in bits of the characters of a text; 0 for the empty text."""
-    n = F.length(text).cast("double")
     letters = F.array_sort(F.array_remove(F.array_distinct(F.split(text, "")), ""))
 
-    def add(acc, letter):
-        p = (n - F.length(F.replace(text, letter, F.lit("")))) / n
-        return acc - p * F.log10(p) / F.log10(F.lit(2.0))
+    def total(n: Column) -> Column:
+        shares = F.transform(letters, lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n)
+        return F.aggregate(shares, F.lit(0.0), lambda acc, p: acc - p * F.log10(p) / F.log10(F.lit(2.0)))
 
-    return F.when(F.length(text) == 0, F.lit(0.0)).otherwise(
-        F.aggregate(letters, F.lit(0.0), add)
-    )
+    return F.when(F.length(text) == 0, F.lit(0.0)).otherwise(bind(F.length(text).cast("double"), total))
 
 
 def stable_entropy(text: Column) -> Column:

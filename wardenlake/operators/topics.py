@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.words import SCORE_ERROR, WORD_ERROR
 from ..session import cut_lineage, shared_dir, spread_and_cut, work_path
@@ -38,14 +39,20 @@ def doc_vectors(corpus: DataFrame, words: DataFrame) -> DataFrame:
     """(doc, features): one sparse count vector per document.
 
     The corpus has one row per (doc, word), so a vector has no more entries than
-    there are words.
+    there are words. The vectors are built as plain structs, written to the shared
+    folder and read back as vectors: no value passes Python.
     """
+    spark = corpus.sparkSession
     size = words.count()
-    pairs = corpus.join(words, "word").groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("i"), F.col("count").cast("double").alias("c")))).alias("e")
+    entry = F.struct(F.col("idx").cast("int").alias("i"), F.col("count").cast("double").alias("c"))
+    docs = corpus.join(words, "word").groupBy("doc").agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    sparse = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col("e.i").alias("indices"), F.col("e.c").alias("values")
     )
-    to_vector = F.udf(lambda i, c: SparseVector(size, i, c), VectorUDT())
-    return pairs.select("doc", to_vector(F.col("e.i"), F.col("e.c")).alias("features"))
+    path = work_path(spark, "vectors")
+    docs.select("doc", sparse.alias("features")).write.parquet(path)
+    schema = T.StructType([T.StructField("doc", T.StringType()), T.StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def _normalised(weights: DataFrame, k: int) -> DataFrame:

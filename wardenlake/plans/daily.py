@@ -1,4 +1,8 @@
-"""Daily analytics of scored results: enrichment plus detail tables."""
+"""Daily analytics of scored results: enrichment plus detail tables.
+
+The top list of a day is short and is read by every enrichment and detail join,
+so it is kept as a table.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.timestamps import frame_clock
 from ..operators import details, enrich, summaries
 from ..operators.records import most_suspicious, ranked
-
+from ..session import cut_lineage
 from .investigate import DNS_KEYS, FLOW_KEYS, PROXY_KEYS
 
 
@@ -35,7 +39,7 @@ def _empty(df: DataFrame, value, *columns: str) -> DataFrame:
 
 def flow_scores(results: DataFrame, lookups: Lookups, limit: int) -> DataFrame:
     """Top flows with rank, internal flags, geography and reputation."""
-    rows = ranked(most_suspicious(results, limit, "ml_score", FLOW_KEYS), "ml_score", FLOW_KEYS)
+    rows = cut_lineage(ranked(most_suspicious(results, limit, "ml_score", FLOW_KEYS), "ml_score", FLOW_KEYS))
     sides = {"srcip": "srcip_internal", "dstip": "dstip_internal"}
     rows = enrich.with_internal_flags(rows, lookups.internal, sides) if lookups.internal is not None else _empty(rows, 0, *sides.values())
     places = {"srcip": ("src_geoloc", "src_domain"), "dstip": ("dst_geoloc", "dst_domain")}
@@ -50,7 +54,7 @@ def flow_scores(results: DataFrame, lookups: Lookups, limit: int) -> DataFrame:
 
 def flow_day(flow: DataFrame, results: DataFrame, lookups: Lookups, limit: int) -> dict[str, DataFrame]:
     """Derived flow tables of the records and results of a day (or of many)."""
-    scores = flow_scores(results, lookups, limit)
+    scores = cut_lineage(flow_scores(results, lookups, limit))
     return {
         "flow_scores": scores,
         "flow_edge": details.flow_edges(flow, scores),
@@ -75,7 +79,7 @@ def _dns_names(rows: DataFrame, lookups: Lookups) -> DataFrame:
 
 def dns_scores(results: DataFrame, lookups: Lookups, limit: int) -> DataFrame:
     """Top DNS replies with registered domain, reputation, hour, code names and context."""
-    rows = most_suspicious(results, limit, "ml_score", DNS_KEYS)
+    rows = cut_lineage(most_suspicious(results, limit, "ml_score", DNS_KEYS))
     rows = enrich.with_registered_domain(rows, lookups.suffixes) if lookups.suffixes is not None else _empty(rows, "", "tld")
     rows = enrich.with_reputation(rows, "dns_qry_name", lookups.reputation, "query_rep") if lookups.reputation else _empty(rows, "", "query_rep")
     rows = rows.withColumn("hh", F.get(F.split(frame_clock(F.col("frame_time")), ":"), F.lit(0)))
@@ -86,7 +90,7 @@ def dns_scores(results: DataFrame, lookups: Lookups, limit: int) -> DataFrame:
 
 
 def dns_day(dns: DataFrame, results: DataFrame, lookups: Lookups, limit: int) -> dict[str, DataFrame]:
-    scores = dns_scores(results, lookups, limit)
+    scores = cut_lineage(dns_scores(results, lookups, limit))
     edges = _dns_names(details.dns_edges(dns, scores), lookups)
     if lookups.names is not None:
         edges = enrich.with_client_name(edges, lookups.names, "ip_dst")
@@ -100,7 +104,7 @@ def dns_day(dns: DataFrame, results: DataFrame, lookups: Lookups, limit: int) ->
 
 def proxy_scores(results: DataFrame, lookups: Lookups, limit: int) -> DataFrame:
     """Top requests with URI reputation, response name and client context."""
-    rows = most_suspicious(results, limit, "ml_score", PROXY_KEYS)
+    rows = cut_lineage(most_suspicious(results, limit, "ml_score", PROXY_KEYS))
     rows = enrich.with_reputation(rows, "fulluri", lookups.reputation, "uri_rep") if lookups.reputation else _empty(rows, "", "uri_rep")
     rows = _response_names(rows, lookups)
     if lookups.names is None:
@@ -115,7 +119,7 @@ def _response_names(rows: DataFrame, lookups: Lookups) -> DataFrame:
 
 
 def proxy_day(proxy: DataFrame, results: DataFrame, lookups: Lookups, limit: int) -> dict[str, DataFrame]:
-    scores = proxy_scores(results, lookups, limit)
+    scores = cut_lineage(proxy_scores(results, lookups, limit))
     return {
         "proxy_scores": scores,
         "proxy_edge": _response_names(details.proxy_edges(proxy, scores), lookups),

@@ -14,6 +14,7 @@ from ..operators.details import flow_timeline
 from ..operators.enrich import context_of, geo_of
 from ..operators.ranges import distinct_addresses
 from ..operators.records import first_per_key
+from ..session import cut_lineage
 
 TOP_RESULTS = 20
 INBOUND, OUTBOUND, TWO_WAY = "Inbound Only", "Outbound Only", "two way"
@@ -88,7 +89,11 @@ def top_connections(split: DataFrame, top: int = TOP_RESULTS) -> DataFrame:
 
 
 def with_place(tops: DataFrame, context: DataFrame, geo: DataFrame) -> DataFrame:
-    """Add the network context and the geography of the address and of its peer."""
+    """Add the network context and the geography of the address and of its peer.
+
+    The short list of top addresses is kept as a table, because four lookups read it.
+    """
+    tops = cut_lineage(tops)
     names = context_of(distinct_addresses(tops, "ip"), context).withColumnRenamed("name", "nwloc")
     places = geo_of(distinct_addresses(tops, "ip", "peer"), geo)
     fields = F.struct("latitude", "longitude", "owner", "geo_loc")
@@ -187,8 +192,8 @@ def timeline(flow: DataFrame, tops: DataFrame) -> DataFrame:
 
 def storyboard(flow: DataFrame, anchors: DataFrame, context: DataFrame, geo: DataFrame, top: int = TOP_RESULTS) -> dict[str, DataFrame]:
     """All parts of the storyboards of the anchors."""
-    tops = top_connections(directions(expanded_search_all(flow, anchors)), top)
-    placed = with_place(tops, context, geo)
+    tops = cut_lineage(top_connections(directions(expanded_search_all(flow, anchors)), top))
+    placed = cut_lineage(with_place(tops, context, geo))
     return {
         "connections": placed,
         "impact": impact_json(placed),

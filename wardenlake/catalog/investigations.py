@@ -75,6 +75,15 @@ def _(d):
     return investigate.ingest_summary(rows, date(2023, 12, 5), date(2024, 1, 20))
 
 
+@query("inv4_proxy_ingest_summary", ["v_proxy"], """
+select p_date || ' ' || substr(p_time, 1, 5) as tdate, count(*) as total from v_proxy where make_date(y, m, d) between date '2023-12-20' and date '2024-01-11' group by 1""")
+def _(d):
+    rows = summaries.proxy_per_minute(d.view("v_proxy"))
+    day = F.split(F.substring("tdate", 1, 10), "-")
+    rows = rows.withColumns({c: F.get(day, F.lit(i)).cast("int") for i, c in enumerate("ymd")})
+    return investigate.ingest_summary(rows, date(2023, 12, 20), date(2024, 1, 11))
+
+
 @query("inv5_flow_severity", ["v_flow_scores"], f"""
 select tstart, srcip, dstip, sport, dport, cast(3 as int) as severity, y, m, d from v_flow_scores where srcip = '{_IP}' and dport = 443""")
 def _(d):
@@ -264,6 +273,15 @@ def _(d):
     return investigate.proxy_progression_json(investigate.proxy_expanded(d.view("v_proxy"), uri), uri)
 
 
+@query("inv17_proxy_progression", ["v_proxy"], """
+, u as (select min(fulluri) as uri from v_proxy), e as (select * from v_proxy, u where fulluri = uri or referer = uri)
+select distinct case when fulluri = uri then 'requests' else 'referer_for' end as kind, case when fulluri = uri then clientip end as clientip, case when fulluri = uri then referer end as referer,
+ case when fulluri = uri then reqmethod end as reqmethod, case when fulluri = uri then resconttype end as resconttype, case when fulluri <> uri then fulluri end as referred from e""")
+def _(d):
+    uri = first_uri(d)
+    return investigate.proxy_progression(investigate.proxy_expanded(d.view("v_proxy"), uri), uri)
+
+
 @query("inv18_proxy_scored_list", ["v_proxy_threat"], "select tdate, fulluri, uri_sev from v_proxy_threat")
 def _(d):
     return d.view("v_proxy_threat").select("tdate", "fulluri", "uri_sev")

@@ -150,6 +150,16 @@ def _(d):
     return detectors.outliers(kept).drop("flag", "pred")
 
 
+@query("snk5_outlier_file")
+def _(d):
+    rows = _features(d)
+    found = detectors.outliers(forest.fit_forest(rows, trees=50, contamination=0.02).predict(rows)).select(*nf.KEYS, "score")
+    path = work_path(d.spark, "outliers")
+    sinks.write_results(found, path)
+    types = "treceived string, tryear int, trmonth int, trday int, trhour int, trminute int, trsec int, sip string, dip string, sport int, dport int, proto string, flag string, score double"
+    return d.spark.read.csv(path, sep="\t", schema=types)
+
+
 @query("ml12_ml13_flt16_autoencoder_outliers")
 def _(d):
     flow = d.view("v_flow")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_BYTES, measured_bytes
+from .joins import BROADCAST_BYTES, is_small, lookup_join
 from .records import first_per_key
 
 DETAIL_LIMIT = 250
@@ -18,11 +18,11 @@ def without_scored_flow(scores: DataFrame, threat: DataFrame) -> DataFrame:
     """
     src = threat.select("srcip").distinct()
     dst = threat.select("dstip").distinct()
-    return scores.join(src, "srcip", "left_anti").join(dst, "dstip", "left_anti")
+    return lookup_join(lookup_join(scores, src, "srcip", "left_anti"), dst, "dstip", "left_anti")
 
 
 def without_scored(scores: DataFrame, threat: DataFrame, key: str) -> DataFrame:
-    return scores.join(threat.select(key).distinct(), key, "left_anti")
+    return lookup_join(scores, threat.select(key).distinct(), key, "left_anti")
 
 
 def _pair(a: str, b: str):
@@ -37,7 +37,7 @@ def flow_edges(flow: DataFrame, suspicious: DataFrame) -> DataFrame:
         *[F.get(when, F.lit(i)).cast("int").alias(c) for i, c in enumerate(("y", "m", "d", "h", "trminute"))],
     ).distinct()
     rows = flow.withColumns({"ip_low": F.least("sip", "dip"), "ip_high": F.greatest("sip", "dip")})
-    hits = rows.join(asked, ["ip_low", "ip_high", "y", "m", "d", "h", "trminute"], "left_semi")
+    hits = lookup_join(rows, asked, ["ip_low", "ip_high", "y", "m", "d", "h", "trminute"], "left_semi")
     return hits.select(
         F.col("treceived").alias("tstart"), F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "sport", "dport",
         "proto", F.col("flag").alias("flags"), F.col("stos").alias("tos"), "ibyt", "ipkt", "input", "output", "rip",
@@ -67,10 +67,18 @@ def threat_peers(suspicious: DataFrame) -> DataFrame:
 
 
 def chords(flow: DataFrame, suspicious: DataFrame) -> DataFrame:
-    """Traffic between a threat address and its suspicious peers, summed per direction."""
+    """Traffic between a threat address and its suspicious peers, summed per direction.
+
+    A short list of pairs picks its flows before anything is shuffled. With a long
+    list the flows are first summed per pair, so that a busy pair is one row.
+    """
     peers = threat_peers(suspicious).select("ip_threat", "peer")
-    totals = pair_totals(flow)
-    return _either_side(totals, peers, "ip_threat", "peer").select("ip_threat", "srcip", "dstip", "ibyt", "ipkt")
+    if not is_small(peers):
+        totals = _either_side(pair_totals(flow), peers, "ip_threat", "peer")
+        return totals.select("ip_threat", "srcip", "dstip", "ibyt", "ipkt")
+    rows = flow.select(F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "ibyt", "ipkt")
+    hits = _either_side(rows, F.broadcast(peers), "ip_threat", "peer")
+    return hits.groupBy("ip_threat", "srcip", "dstip").agg(F.sum("ibyt").alias("ibyt"), F.sum("ipkt").alias("ipkt"))
 
 
 def _either_side(totals: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -100,7 +108,7 @@ def _names_with(dns: DataFrame, asked: DataFrame, max_bytes: int) -> DataFrame:
     """
     when = ["y", "m", "d", "h"]
     names = dns.select(*when, "dns_qry_name").distinct()
-    if measured_bytes(asked) <= max_bytes:
+    if is_small(asked, max_bytes):
         return names.join(F.broadcast(asked), when).filter(F.col("dns_qry_name").contains(F.col("asked")))
     # At most 253 lengths exist for legal names, so this list is short.
     lengths = sorted(r[0] for r in asked.select(F.length("asked")).distinct().collect())
@@ -140,7 +148,7 @@ def dns_edges(
 def proxy_edges(proxy: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
     """Raw requests of a suspicious (URI, client) in the same hour, the first ``limit`` of each."""
     keys = ["y", "m", "d", "h", "fulluri", "clientip"]
-    rows = proxy.join(suspicious.select(*keys).distinct(), keys, "left_semi")
+    rows = lookup_join(proxy, suspicious.select(*keys).distinct(), keys, "left_semi")
     order = [F.col(c) for c in ("p_time", "reqmethod", "useragent", "respcode", "referer", "scbytes", "csbytes", "webcat", "uriport", "serverip", "resconttype")]
     top = first_per_key(rows, keys, order, limit)
     return top.select(
@@ -154,7 +162,7 @@ def dns_dendrogram(dns: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LI
     """Distinct (time, answer, query, client) among the first ``limit`` replies of each
     suspicious client and day."""
     keys = ["y", "m", "d", "ip_dst"]
-    rows = dns.join(suspicious.select(*keys).distinct(), keys, "left_semi")
+    rows = lookup_join(dns, suspicious.select(*keys).distinct(), keys, "left_semi")
     top = first_per_key(rows, keys, [F.col(c) for c in ("unix_tstamp", "dns_qry_name", "dns_a")], limit)
     return top.select("unix_tstamp", "dns_a", "dns_qry_name", "ip_dst", "y", "m", "d").distinct()
 
@@ -162,10 +170,13 @@ def dns_dendrogram(dns: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LI
 def flow_timeline(flow: DataFrame, anchors: DataFrame, limit: int = 1000) -> DataFrame:
     """First and last time of each distinct connection between an anchor and its listed
     peers (ip_threat, peer); the first ``limit`` per anchor by start."""
-    keys = ["sip", "dip", "proto", "sport", "dport", "ipkt", "ibyt"]
-    spans = flow.groupBy(*keys).agg(F.min("treceived").alias("tstart"), F.max("treceived").alias("tend"))
-    spans = spans.withColumnsRenamed({"sip": "srcip", "dip": "dstip"})
-    hits = _either_side(spans, anchors, "ip_threat", "peer")
+    keys = ["srcip", "dstip", "proto", "sport", "dport", "ipkt", "ibyt"]
+    span = F.min("treceived").alias("tstart"), F.max("treceived").alias("tend")
+    rows = flow.withColumnsRenamed({"sip": "srcip", "dip": "dstip"}).select(*keys, "treceived")
+    if is_small(anchors):
+        hits = _either_side(rows, F.broadcast(anchors), "ip_threat", "peer").groupBy("ip_threat", *keys).agg(*span)
+    else:
+        hits = _either_side(rows.groupBy(*keys).agg(*span), anchors, "ip_threat", "peer")
     order = [F.col(c) for c in ("tstart", "tend", "srcip", "dstip", "proto", "sport", "dport", "ipkt", "ibyt")]
     top = first_per_key(hits, ["ip_threat"], order, limit)
     return top.select("ip_threat", "tstart", "tend", "srcip", "dstip", "proto", "sport", "dport", "ipkt", "ibyt")

@@ -15,12 +15,16 @@ def measured_bytes(df: DataFrame) -> int:
     return row["b"] + 16 * row["n"] * max(len(df.columns), 1)
 
 
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return measured_bytes(df) <= max_bytes
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, on, how: str = "left", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join rows to a lookup table.
 
     The lookup is broadcast only after its size was measured. A larger one is
     joined by shuffle, where adaptive execution splits skewed partitions.
     """
-    if measured_bytes(lookup) <= max_bytes:
+    if is_small(lookup, max_bytes):
         lookup = F.broadcast(lookup)
     return rows.join(lookup, on, how)

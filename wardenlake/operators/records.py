@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 # Names of the two netflow dialects.
 FLOW_DIALECT = {
     "ts": "treceived", "td": "tdur", "sa": "sip", "da": "dip",
@@ -52,7 +54,7 @@ def label_by_watchlist(df: DataFrame, watchlist: DataFrame, columns=("sip", "dip
     listed = watchlist.select("ip").distinct()
     flags = []
     for i, c in enumerate(columns):
-        df = df.join(listed.select(F.col("ip").alias(c), F.lit(True).alias(f"_hit{i}")), c, "left")
+        df = lookup_join(df, listed.select(F.col("ip").alias(c), F.lit(True).alias(f"_hit{i}")), c)
         flags.append(F.coalesce(F.col(f"_hit{i}"), F.lit(False)))
     any_hit = flags[0]
     for f in flags[1:]:
@@ -108,6 +110,18 @@ def search_equal(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
+def row_sample(df: DataFrame, n: int, seed: int) -> DataFrame:
+    """About n random rows, n at most (all rows of a smaller table).
+
+    A Bernoulli sample comes first, so that no more than a few times n rows meet in
+    the final pick, however many partitions there are.
+    """
+    total = df.count()
+    if total > 4 * n:
+        df = df.sample(fraction=2 * n / total, seed=seed)
+    return df.orderBy(F.rand(seed)).limit(n)
+
+
 def on_day(df: DataFrame, day) -> DataFrame:
     """Records of one day by the partition columns; all days if day is None."""
     if day is None:

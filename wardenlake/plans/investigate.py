@@ -190,10 +190,20 @@ def proxy_timeline(proxy: DataFrame, uri: str, clients: DataFrame, names: DataFr
     return out.join(side, "respcode", "left").withColumn("respcode_name", F.coalesce("respcode_name", F.lit("")))
 
 
-def proxy_progression_json(expanded: DataFrame, uri: str) -> DataFrame:
-    """One JSON document: the distinct requests of a URI and the URIs that it referred to."""
+def proxy_progression(expanded: DataFrame, uri: str) -> DataFrame:
+    """Distinct requests of a URI and the URIs that it referred to, one row each."""
     own = F.col("fulluri") == uri
-    request = F.struct("clientip", "referer", "reqmethod", "resconttype")
-    rows = expanded.select(F.when(own, request).alias("request"), F.when(~own, F.col("fulluri")).alias("referred")).distinct()
-    body = rows.agg(F.array_sort(F.collect_set("request")).alias("requests"), F.array_sort(F.collect_set("referred")).alias("referer_for"))
-    return body.select(F.to_json(F.struct(F.lit(uri).alias("fulluri"), "requests", "referer_for")).alias("json"))
+    request = ("clientip", "referer", "reqmethod", "resconttype")
+    return expanded.select(
+        F.when(own, F.lit("requests")).otherwise(F.lit("referer_for")).alias("kind"),
+        *[F.when(own, F.col(c)).alias(c) for c in request],
+        F.when(~own, F.col("fulluri")).alias("referred"),
+    ).distinct()
+
+
+def proxy_progression_json(expanded: DataFrame, uri: str) -> DataFrame:
+    """The progression as JSON lines, one per request or referred URI: a busy URI has
+    as many lines as it needs and no task holds them all."""
+    rows = proxy_progression(expanded, uri)
+    body = F.struct(F.lit(uri).alias("fulluri"), "kind", "clientip", "referer", "reqmethod", "resconttype", "referred")
+    return rows.select("kind", F.to_json(body).alias("json"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.addresses import context_category
 from ..operators.details import flow_timeline
 from ..operators.enrich import context_of, geo_of
+from ..operators.joins import is_small
 from ..operators.ranges import distinct_addresses
 from ..operators.records import first_per_key
 from ..session import cut_lineage
@@ -24,9 +25,9 @@ def anchors_of(spark: SparkSession, *ips: str) -> DataFrame:
     return spark.createDataFrame([(ip,) for ip in ips], "ip_threat string")
 
 
-def connection_groups(flow: DataFrame) -> DataFrame:
+def connection_groups(flow: DataFrame, *keys: str) -> DataFrame:
     """Flows per (source, destination, ports): times, count, highest and mean packets and bytes."""
-    return flow.groupBy(F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "sport", "dport").agg(
+    return flow.groupBy(*keys, F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "sport", "dport").agg(
         F.min("treceived").alias("firstseen"),
         F.max("treceived").alias("lastseen"),
         F.count(F.lit(1)).alias("conns"),
@@ -43,10 +44,18 @@ def expanded_search(flow: DataFrame, ip: str) -> DataFrame:
 
 
 def expanded_search_all(flow: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Connection groups of every anchor: (ip_threat, ...)."""
-    groups = connection_groups(flow)
-    ends = F.array_distinct(F.array("srcip", "dstip"))
-    return groups.withColumn("ip_threat", F.explode(ends)).join(anchors.distinct(), "ip_threat", "left_semi")
+    """Connection groups of every anchor: (ip_threat, ...).
+
+    A short list of anchors picks its flows before the grouping; for a long one the
+    groups are made first.
+    """
+    anchors = anchors.select("ip_threat").distinct()
+    if not is_small(anchors):
+        ends = F.explode(F.array_distinct(F.array("srcip", "dstip")))
+        return connection_groups(flow).withColumn("ip_threat", ends).join(anchors, "ip_threat", "left_semi")
+    ends = F.explode(F.array_distinct(F.array("sip", "dip")))
+    rows = flow.withColumn("ip_threat", ends).join(F.broadcast(anchors), "ip_threat", "left_semi")
+    return connection_groups(rows, "ip_threat")
 
 
 def directions(groups: DataFrame) -> DataFrame:

@@ -60,7 +60,15 @@ def test_geo_against_bisect(spark):
 def test_exact_quantile(spark, values, q):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     rank = min(max(int(np.ceil(q * len(values) - 1e-9)), 1), len(values))
-    assert quantiles.exact_quantile(df, "v", q, bins=8) == sorted(values)[rank - 1]
+    assert quantiles.exact_quantile(df, "v", q, accuracy=20, listed=4) == sorted(values)[rank - 1]
+
+
+@pytest.mark.parametrize("q", [0.05, 0.5, 0.501, 0.95, 1.0])
+def test_quantile_with_heavy_ties_and_wide_range(spark, q):
+    values = [0.0] * 3000 + [1.0] * 3000 + [10.0 ** -k for k in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    want = sorted(values)[int(np.ceil(q * len(values) - 1e-9)) - 1]
+    assert quantiles.exact_quantile(df, "v", q, accuracy=100, listed=50) == want
 
 
 def test_quantile_of_nothing(spark):

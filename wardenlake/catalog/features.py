@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import flowfeatures as ff
 from ..operators import quantiles, transformers
 from ..plans import netflow_features as nf
+from ..session import cut_lineage
 from .registry import query
 
 _KEYS = ", ".join(nf.KEYS)
@@ -107,7 +108,7 @@ _SCALED_SQL = ", ".join(
 
 @query("fn24_min_max_scaled", ["v_flow"], f", {_CONS}, {_PREP} select treceived, sip, dip, sport, dport, {_SCALED_SQL} from prep")
 def _(d):
-    rows = nf.preprocess(d.view("v_flow"))
+    rows = cut_lineage(nf.preprocess(d.view("v_flow")))
     scaled = nf.scale(rows, nf.min_max(rows))
     return _rounded(scaled.select("treceived", "sip", "dip", "sport", "dport", *nf.SCALED_NAMES.values()), *nf.SCALED_NAMES.values())
 
@@ -176,14 +177,14 @@ def _(d):
 
 
 def detector_features(d):
-    """Features of all consolidated flows with their keys."""
-    rows = nf.preprocess(d.view("v_flow"))
+    """Features of all consolidated flows with their keys; the flows are consolidated once."""
+    rows = cut_lineage(nf.preprocess(d.view("v_flow")))
     return nf.feature_array(nf.scale(rows, nf.min_max(rows)))
 
 
 @query("ml8_feature_table", ["v_flow"], f""", {_CONS}, {_PREP}
 select treceived, sip, dip, sport, dport, {', '.join(f'flag_onehot{i}' for i in range(6))}, {', '.join(f'proto_onehot{i}' for i in range(5))}, opkt, obyt, {_SCALED_SQL} from prep""")
 def _(d):
-    rows = nf.preprocess(d.view("v_flow"))
+    rows = cut_lineage(nf.preprocess(d.view("v_flow")))
     scaled = nf.scale(rows, nf.min_max(rows))
     return _rounded(scaled.select("treceived", "sip", "dip", *nf.FEATURES), *nf.SCALED_NAMES.values())

@@ -141,6 +141,16 @@ def test_upsert_and_reset(spark):
     assert [r.m for r in investigate.without_day(days, date(2024, 1, 9)).collect()] == [2]
 
 
+def test_scope_of_scored_connections(spark, data):
+    scores, day = data.view("v_dns_scores"), date(2024, 1, 10)
+    threat = data.view("v_dns_threat")
+    everywhere = investigate.dns_suspicious(scores, threat, day, limit=10_000)
+    that_day = investigate.dns_suspicious(scores, threat, day, limit=10_000, scored_scope="day")
+    assert everywhere.count() < that_day.count() <= records.on_day(scores, day).count()
+    with pytest.raises(ValueError):
+        investigate.dns_suspicious(scores, threat, day, scored_scope="week")
+
+
 def test_date_range_crosses_months(spark):
     days = spark.createDataFrame([(2024, 1, 31), (2024, 2, 1), (2024, 2, 20), (2023, 2, 1)], "y int, m int, d int")
     assert records.between_days(days, date(2024, 1, 30), date(2024, 2, 10)).count() == 2

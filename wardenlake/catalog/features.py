@@ -150,7 +150,7 @@ def autoencoder_steps(flow):
 _ORDER = [f"p{i}" for i in range(5)] + [f"f{i}" for i in range(6)] + ["tdur", "ipkt", "ibyt", "sp", "dp"]
 
 
-@query("fn26_udf3_feature_pipeline", ["v_flow"], _STD_SQL + f"""
+@query("fn26_udf3_feature_steps", ["v_flow"], _STD_SQL + f"""
 select treceived, sip, {', '.join(f'cast({e} as double) as p{i}' for i, e in enumerate(_onehot('proto')))}, {', '.join(f'cast({e} as double) as f{i}' for i, e in enumerate(_flags('flag')))},
  round((ln(tdur + 1) - m1) / s1, 6) as tdur, round((ln(ipkt + 1) - m2) / s2, 6) as ipkt, round((ln(ibyt + 1) - m3) / s3, 6) as ibyt, cast(sport > 1024 as double) as sp, cast(dport > 1024 as double) as dp from v_flow, s""")
 def _(d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 512
+BUCKETS = 4096
 
 
 def dense_index(df: DataFrame, column: str, index: str = "idx", buckets: int = BUCKETS) -> DataFrame:

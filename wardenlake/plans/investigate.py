@@ -19,21 +19,30 @@ def _listed(rows: DataFrame, keys, limit: int) -> DataFrame:
     return rows.orderBy("ml_score", *keys).limit(limit)
 
 
-def flow_suspicious(scores, threat, day=None, ip=None, limit: int = LIST_LIMIT) -> DataFrame:
+def _scored(threat: DataFrame, day, scope: str) -> DataFrame:
+    if scope not in ("all", "day"):
+        raise ValueError(f"unknown scope {scope!r}")
+    return on_day(threat, day) if scope == "day" else threat
+
+
+def flow_suspicious(scores, threat, day=None, ip=None, limit: int = LIST_LIMIT, scored_scope: str = "all") -> DataFrame:
     """Suspicious flows that no analyst has scored yet, lowest score first.
 
-    A connection scored on any day is hidden on every day.
+    A connection scored on any day is hidden on every day, unless the scope is 'day'.
     """
-    return _listed(search_flow(without_scored_flow(on_day(scores, day), threat), ip), FLOW_KEYS, limit)
+    rows = without_scored_flow(on_day(scores, day), _scored(threat, day, scored_scope))
+    return _listed(search_flow(rows, ip), FLOW_KEYS, limit)
 
 
-def dns_suspicious(scores, threat, day=None, ip=None, query=None, limit: int = LIST_LIMIT) -> DataFrame:
-    rows = search_equal(without_scored(on_day(scores, day), threat, "dns_qry_name"), ip_dst=ip)
+def dns_suspicious(scores, threat, day=None, ip=None, query=None, limit: int = LIST_LIMIT, scored_scope: str = "all") -> DataFrame:
+    rows = without_scored(on_day(scores, day), _scored(threat, day, scored_scope), "dns_qry_name")
+    rows = search_equal(rows, ip_dst=ip)
     return _listed(search_text(rows, "dns_qry_name", query), DNS_KEYS, limit)
 
 
-def proxy_suspicious(scores, threat, day=None, uri=None, ip=None, limit: int = LIST_LIMIT) -> DataFrame:
-    rows = search_equal(without_scored(on_day(scores, day), threat, "fulluri"), clientip=ip)
+def proxy_suspicious(scores, threat, day=None, uri=None, ip=None, limit: int = LIST_LIMIT, scored_scope: str = "all") -> DataFrame:
+    rows = without_scored(on_day(scores, day), _scored(threat, day, scored_scope), "fulluri")
+    rows = search_equal(rows, clientip=ip)
     return _listed(search_text(rows, "fulluri", uri), PROXY_KEYS, limit)
 
 

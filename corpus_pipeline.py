@@ -6,17 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardenlake.llm import near_dedup, packing
+from wardenlake.llm import decontamination, language_id, line_dedup, near_dedup, packing
 from wardenlake.llm.catalog import TOKENIZER
 from wardenlake.llm.shared import keep, prepare, table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with confidence stay; empty texts and texts without letters go."""
+    prepare(spark)
+    return language_id.identify_documents(docs).where("accepted").select(*docs.columns)
+
+
+def without_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents are cut; every document stays."""
+    prepare(spark)
+    return line_dedup.drop_recurring_lines(docs)
+
+
 def near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
     prepare(spark)
     return near_dedup.drop_near_duplicates(docs, width=5, percent=80)
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, unchanged or with other parameters, go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents in sequences of at most 2048 tokens."""
     prepare(spark)
@@ -24,7 +41,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", known_language),
+    ("line_dedup", without_templates),
     ("near_dedup", near_documents),
+    ("decontamination", decontaminated),
     ("packing", packed),
 ]
 

@@ -7,17 +7,35 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, packing, token_counts, token_files
+from . import decontamination, language_id, line_dedup, near_dedup, packing, substring_dedup, token_counts, token_files, topk_search, warc
 from .shared import table
 
 #: Tokenizer of the token queries; every operator takes the path as a parameter.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents")).select("doc_id", "language", "posterior", "accepted")
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over web pages, with markup and the hierarchy of addresses as evidence."""
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id as id", "text", "lang as language")
+    return language_id.identify_pages(table(spark, sf_dir, "pages"), language_id.fit_text_model(docs))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=1024)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.recurring_lines(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -26,15 +44,31 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, packing.Capacity(tokens=2048))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), k=10, every=20)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = token_files.write_ids(docs, TOKENIZER)
     return token_files.digests(token_files.read_ids(files, token_files.look_up(files, files.documents.select("doc_id"))))
 
 
-_QUERIES = [op2_token_counts, op5_near_dedup, op6_packing, op9_token_files]
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_QUERIES = [
+    op1_language_id, op2_token_counts, op3_substring_dedup, op4_line_dedup, op5_near_dedup, op6_packing, op7_decontamination,
+    op8_topk_search, op9_token_files, op10_warc, language_id_pages,
+]
 
-_ORACLE: dict[str, str] = {}
+_ORACLE = {"op4_line_dedup": line_dedup.SQL, "op8_topk_search": topk_search.SQL, "op10_warc": warc.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

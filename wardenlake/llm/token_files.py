@@ -135,7 +135,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
         end, done, last, ordinal, out = np.array([end_id], "<u4"), 0, None, 0, None
         try:
             for batch in batches:
-                out = out or system.open_output_stream(f"{path}/{name}")
+                out = out or system.open_output_stream(f"{path}/{name}", compression=None)
                 doc_ids, offsets, lengths, ordinals = batch.column(0).to_pylist(), [], [], []
                 for doc_id, raw in zip(doc_ids, encode(batch.column(1).to_pylist()), strict=True):
                     ids = np.append(np.frombuffer(raw, "<u4"), end)

@@ -123,15 +123,15 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, keep_ids
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in names]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
-                total = len(ids) // 4
+            first, ids = encode(batch.column(1))
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                whole = np.append(ids[a:b], np.uint32(end_id)).astype("<u4").tobytes()
+                total = len(whole) // 4
                 bounds = [0, *range(total % size or size, total + 1, size)]
                 for number, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-                    raw = ids[4 * lo : 4 * hi]
+                    raw = whole[4 * lo : 4 * hi]
                     values = (part, int(seen[hi - lo]), doc_id, number, lo, hi - lo, zlib.crc32(raw), raw)
                     seen[hi - lo] += 1
                     for column, value in zip(rows, values, strict=False):

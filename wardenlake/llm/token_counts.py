@@ -41,7 +41,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
         for batch in batches:
             texts = batch.column(1)
             sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            numbers = pa.array(counter.count(texts.to_pylist()), pa.int64())
+            numbers = pa.array(counter.count(texts), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, numbers], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

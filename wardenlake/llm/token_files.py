@@ -132,14 +132,15 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
         encode, shard = encoder(tokenizer).encode, TaskContext.get().partitionId()
         system, path = store(folder)
         name = attempt_name("ids", shard, ".bin")
-        end, done, last, ordinal, out = np.array([end_id], "<u4"), 0, None, 0, None
+        done, last, ordinal, out = 0, None, 0, None
         try:
             for batch in batches:
                 out = out or system.open_output_stream(f"{path}/{name}", compression=None)
                 doc_ids, offsets, lengths, ordinals = batch.column(0).to_pylist(), [], [], []
-                for doc_id, raw in zip(doc_ids, encode(batch.column(1).to_pylist()), strict=True):
-                    ids = np.append(np.frombuffer(raw, "<u4"), end)
-                    out.write(ids.astype(f"<u{width}").tobytes())
+                first, found = encode(batch.column(1))
+                for doc_id, a, b in zip(doc_ids, first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    ids = np.append(found[a:b], np.uint32(end_id)).astype(f"<u{width}")
+                    out.write(ids.tobytes())
                     ordinal = ordinal + 1 if doc_id == last else 0
                     last = doc_id
                     offsets.append(done)

@@ -11,20 +11,23 @@ from __future__ import annotations
 
 import json
 import re
-from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct units a worker remembers (about 200 bytes each), and the longest unit that is remembered (characters).
-REMEMBERED, LONGEST = 1_000_000, 64
+from . import shingles as sh
 
-#: Units that are encoded in one call.
-CALL = 2048
+#: Distinct units a worker remembers, places of its table, and the longest unit that is remembered (bytes).
+REMEMBERED, PLACES, LONGEST = 1_500_000, 1 << 22, 64
 
-#: A space that no printable character follows, and the places in front of a space or newline that one follows.
-_ODD_SPACE = re.compile(r" (?![!-~¡-¬®-ɏ])").search
-_BREAKS = re.compile(r"(?=[ \n][!-~¡-¬®-ɏ])").split
-_JOINABLE = re.compile(r"[ \n][!-~¡-¬®-ɏ]").match
+#: Units that are encoded in one call, and units that are looked up at once.
+CALL, TOGETHER = 2048, 1 << 17
+
+#: First bytes of characters that are no white space in any reading: printable ASCII and U+00C0 to U+023F.
+_SOLID = np.zeros(256, bool)
+_SOLID[0x21:0x7F] = True
+_SOLID[0xC3:0xC9] = True
 #: Text in which letters, digits and white space are beyond doubt, and its pre-tokens.
 _PLAIN = re.compile(r"[ \n!-~À-ÖØ-öø-ɏ]*").fullmatch
 _PRE_TOKENS = re.compile(
@@ -33,20 +36,6 @@ _PRE_TOKENS = re.compile(
 ).findall
 
 
-def _keys(text: str) -> list[str]:
-    """Keys of the units of a text. A key without a leading space stands for the unit with one in front; a key
-    with one stands for what follows that space (units that do not begin with a single space)."""
-    if _ODD_SPACE(text):
-        return [u[1:] if u[0] == " " and _JOINABLE(u) else " " + u for u in _BREAKS(text) if u]
-    keys = text.split(" ")
-    keys[0] = " " + keys[0]
-    return keys
-
-
-def _unit(key: str) -> str:
-    return key[1:] if key[0] == " " else " " + key
-
-
 def byte_alphabet() -> dict[str, int]:
     """The public byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -94,114 +83,247 @@ def prove_whole_tokens(path: str) -> list[str]:
     return sorted(proven)
 
 
+class Memory:
+    """Remembered units: their bytes, numbers of tokens and ids, found by a hash of the bytes.
+
+    Everything lies in arrays. A unit counts as found only if its bytes agree.
+    """
+
+    def __init__(self):
+        self.keys = np.zeros(PLACES, np.uint64)
+        self.index = np.zeros(PLACES, np.int32)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys.fill(0)
+        self.size = 0
+        self.counts = np.zeros(0, np.int64)  # tokens of every unit
+        self.ids, self.id_start = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.text, self.text_start = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.id_size = self.text_size = 0
+
+    @staticmethod
+    def _grown(column: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+        if used + len(more) > len(column):
+            column = np.concatenate([column[:used], np.zeros(max(len(more), used // 2, 4096), column.dtype)])
+        column[used : used + len(more)] = more
+        return column
+
+    def append(self, counts: np.ndarray, ids: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Add units and return their numbers; they are not found before ``enter``."""
+        at = np.arange(self.size, self.size + len(counts))
+        self.counts = self._grown(self.counts, self.size, counts)
+        self.lengths = self._grown(self.lengths, self.size, lengths)
+        self.id_start = self._grown(self.id_start, self.size, self.id_size + np.cumsum(counts) - counts)
+        self.text_start = self._grown(self.text_start, self.size, self.text_size + np.cumsum(lengths) - lengths)
+        self.ids = self._grown(self.ids, self.id_size, ids)
+        self.text = self._grown(self.text, self.text_size, text)
+        self.size += len(counts)
+        self.id_size += len(ids)
+        self.text_size += len(text)
+        return at
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of the units with these hashes, or -1."""
+        out, open_at, place = np.full(len(keys), -1, np.int64), np.arange(len(keys)), (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(open_at):
+            held = self.keys[place]
+            hit = held == keys[open_at]
+            out[open_at[hit]] = self.index[place[hit]]
+            on = ~hit & (held != 0)
+            open_at, place = open_at[on], (place[on] + 1) & (PLACES - 1)
+        return out
+
+    def enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        """Make units that are not in the table found by their hashes (all different)."""
+        open_at, place = np.arange(len(keys)), (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        while len(open_at):
+            free = np.flatnonzero(self.keys[place] == 0)
+            slot, first = np.unique(place[free], return_index=True)
+            chosen = free[first]
+            self.keys[slot] = keys[open_at[chosen]]
+            self.index[slot] = numbers[open_at[chosen]]
+            left = np.ones(len(open_at), bool)
+            left[chosen] = False
+            open_at, place = open_at[left], (place[left] + 1) & (PLACES - 1)
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all elements of the spans, one span after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
+
+def unit_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of every unit, never 0. All units have a byte."""
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    power = np.full(int(lengths.max()), sh._BASE, np.uint64)
+    power[0] = np.uint64(1)
+    power = np.cumprod(power, dtype=np.uint64)
+    place = spans(np.zeros(len(lengths), np.int64), lengths)
+    value = sh._BYTE[data[spans(starts, lengths)]] * power[place]
+    return np.maximum(sh.mix(np.add.reduceat(value, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64)), np.uint64(1))
+
+
+def same_bytes(one: np.ndarray, starts: np.ndarray, two: np.ndarray, others: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Whether spans of two buffers with equal lengths hold the same bytes."""
+    if not len(lengths):
+        return np.zeros(0, bool)
+    differs = one[spans(starts, lengths)] != two[spans(others, lengths)]
+    return np.add.reduceat(differs.astype(np.int64), np.cumsum(lengths) - lengths) == 0
+
+
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of whole texts. ``keep_ids=False`` keeps their numbers only."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep_ids: bool = True):
         self.tokenizer, self.added = load(path)
-        self.in_units = splits_into_units(path)
-        self.seen: dict[str, bytes] = {}
+        self.in_units, self.keep_ids = splits_into_units(path), keep_ids
         vocabulary = self.tokenizer.get_vocab() if self.in_units else {}
-        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)  # bytes of every token
+        self.token_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for string, number in vocabulary.items():
-            self.lengths[number] = len(string)
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def pieces(self, units: list[str]) -> list[bytes]:
-        """Ids of units without added tokens. Units that begin a pre-token anywhere are encoded many at a time in one
-        text, which is cut again where the bytes of the tokens reach the end of a unit."""
-        out: list[bytes] = [b""] * len(units)
-        alone = [i for i, u in enumerate(units) if not _JOINABLE(u)]
-        for i, ids in zip(alone, self.whole([units[i] for i in alone]), strict=True):
-            out[i] = ids
-        joined = [i for i, u in enumerate(units) if _JOINABLE(u)]
-        groups = [joined[i : i + CALL] for i in range(0, len(joined), CALL)]
-        found = self.tokenizer.encode_batch_fast(["".join([units[i] for i in g]) for g in groups], add_special_tokens=False)
+            self.token_bytes[number] = len(string)
+        self.memory = Memory() if self.in_units else None
+
+    def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of tokens and ids of texts, one after the other, from the library."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [np.array(i, np.uint32) for i in found]
+        return np.array([len(i) for i in ids], np.int64), np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+
+    def joined(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for units that begin a pre-token behind any text: many are encoded in one text, which is cut again
+        where the bytes of the tokens reach the end of a unit."""
+        groups = [units[i : i + CALL] for i in range(0, len(units), CALL)]
+        found = self.tokenizer.encode_batch_fast([b"".join(g).decode() for g in groups], add_special_tokens=False)
+        counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for group, encoded in zip(groups, found, strict=True):
-            ids = np.array(encoded.ids, "<u4")
-            ends = np.cumsum([len(units[i].encode()) for i in group])
-            cuts = (np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1) * 4
-            raw, at = ids.tobytes(), 0
-            for i, cut in zip(group, cuts.tolist(), strict=True):
-                out[i] = raw[at:cut]
-                at = cut
-        return out
-
-    def parted(self, texts: list[str | None]) -> tuple[list[int], list[int]]:
-        """Positions of the texts that are taken in units and of those that the library gets whole."""
-        apart: list[int] = []
-        whole: list[int] = []
-        for i, text in enumerate(texts):
-            if text:
-                (whole if not self.in_units or any(a in text for a in self.added) else apart).append(i)
-        return apart, whole
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text; null reads as empty."""
-        out: list[bytes] = [b""] * len(texts)
-        apart, whole = self.parted(texts)
-        for i, ids in zip(whole, self.whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        found = look_up(self.seen, [_keys(texts[i]) for i in apart], lambda keys: self.pieces([_unit(k) for k in keys]))
-        for i, row in zip(apart, found, strict=True):
-            out[i] = b"".join(row)
+            got = np.array(encoded.ids, np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)))
+            cuts = np.searchsorted(np.cumsum(self.token_bytes[got]), ends, "left") + 1
+            counts.append(np.diff(cuts, prepend=0))
+            ids.append(got)
+        return np.concatenate(counts), np.concatenate(ids)
+
+    def work_out(self, units: list[bytes], joinable: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of tokens and ids of new units, of which the first ``joinable`` may be joined."""
+        counts, ids = self.joined(units[:joinable])
+        more, rest = self.whole([u.decode() for u in units[joinable:]])
+        return np.concatenate([counts, more]), np.concatenate([ids, rest])
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, joinable: np.ndarray) -> np.ndarray:
+        """Numbers in the memory of units; new ones are worked out. Long units are appended but not remembered."""
+        memory, out = self.memory, np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(lengths <= LONGEST)
+        keys, first, back = np.unique(unit_hashes(data, starts[short], lengths[short]), return_index=True, return_inverse=True)
+        first = short[first]
+        safe = same_bytes(data, starts[short], data, starts[first][back], np.minimum(lengths[short], lengths[first][back]))
+        safe &= lengths[short] == lengths[first][back]
+        found = memory.find(keys)
+        known = np.flatnonzero(found >= 0)
+        agree = memory.lengths[found[known]] == lengths[first[known]]
+        known, clash = known[agree], known[~agree]
+        if len(known):
+            equal = same_bytes(data, starts[first[known]], memory.text, memory.text_start[found[known]], lengths[first[known]])
+            clash = np.concatenate([clash, known[~equal]])
+        fresh = np.flatnonzero(found < 0)
+        # units whose hash another unit took are worked out here and not remembered, as are long ones
+        other = np.concatenate([np.flatnonzero(lengths > LONGEST), short[~safe], first[clash]])
+        new = np.concatenate([first[fresh], other])
+        if len(new):
+            order = np.argsort(~joinable[new], kind="stable")
+            units = [data[a : a + n].tobytes() for a, n in zip(starts[new[order]].tolist(), lengths[new[order]].tolist(), strict=True)]
+            counts, ids = self.work_out(units, int(joinable[new].sum()))
+            text = np.frombuffer(b"".join(units), np.uint8)
+            numbers = np.empty(len(new), np.int64)
+            numbers[order] = memory.append(counts, ids if self.keep_ids else ids[:0], lengths[new[order]], text)
+            memory.enter(keys[fresh], numbers[: len(fresh)])
+            found[fresh] = numbers[: len(fresh)]
+            found[clash] = numbers[len(new) - len(clash) :]
+            out[other] = numbers[len(fresh) :]
+        out[short[safe]] = found[back[safe]]
         return out
 
-
-def look_up(seen: dict, rows: list[list[str]], work) -> list[list]:
-    """Values of the keys of every row; ``work`` gives those of keys that are not remembered yet."""
-    if len(seen) > REMEMBERED:
-        seen.clear()
-    found = [list(map(seen.get, row)) for row in rows]
-    fresh = list({k for row, values in zip(rows, found, strict=True) for k, v in zip(row, values, strict=True) if v is None})
-    if fresh:
-        here = dict(zip(fresh, work(fresh), strict=True))
-        for row, values in zip(rows, found, strict=True):
-            for i, v in enumerate(values):
-                if v is None:
-                    values[i] = here[row[i]]
-        seen.update((k, v) for k, v in here.items() if len(k) <= LONGEST)
-    return found
-
-
-class Counter:
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """First token of every row (one entry more than rows) and the ids of all rows; null reads as empty.
+
+        Without ``keep_ids`` the second is empty.
+        """
+        column = column.cast(pa.string()).fill_null("") if column.null_count else column
+        if not self.in_units:
+            counts, ids = self.whole(column.to_pylist())
+            return np.concatenate([[0], np.cumsum(counts)]), ids
+        special = np.zeros(len(column), bool)
+        for string in self.added:
+            special |= pc.match_substring(column, string).to_numpy(zero_copy_only=False)
+        if special.any():
+            return self._encode_mixed(column, special)
+        data, offsets = sh.buffers(column)
+        data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+        if not len(data):
+            return np.zeros(len(offsets), np.int64), np.zeros(0, np.uint32)
+        solid = _SOLID[data]
+        joins = np.zeros(len(data), bool)
+        joins[:-1] = ((data[:-1] == 0x20) | (data[:-1] == 0x0A)) & solid[1:]
+        joins[offsets[1:-1][offsets[1:-1] > 0] - 1] = False  # the solid byte belongs to the next row
+        begins = joins.copy()
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        lengths = np.diff(starts, append=len(data))
+        joinable = joins[starts]
+        counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for at in range(0, len(starts), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            if self.memory.size > REMEMBERED:
+                self.memory.clear()
+            numbers = self._numbers(data, starts[part], lengths[part], joinable[part])
+            counts.append(self.memory.counts[numbers])
+            if self.keep_ids:
+                ids.append(self.memory.ids[spans(self.memory.id_start[numbers], counts[-1])])
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return ends[np.searchsorted(starts, offsets, "left")], np.concatenate(ids)
+
+    def _encode_mixed(self, column: pa.Array, special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows with the string of an added token go to the library whole."""
+        first, ids = self.encode(pc.if_else(pa.array(special), pa.scalar("", column.type), column))
+        more, rest = self.whole(column.filter(pa.array(special)).to_pylist())
+        counts = np.diff(first)
+        counts[special] = more
+        start = first[:-1].copy()
+        start[special] = len(ids) + np.cumsum(more) - more
+        out = np.concatenate([ids, rest])[spans(start, counts)] if self.keep_ids else ids
+        return np.concatenate([[0], np.cumsum(counts)]), out
+
+
+class Counter(Encoder):
     """Numbers of tokens of whole texts: pre-tokens proven to be one token are counted, only the rest is merged."""
 
     def __init__(self, path: str, whole_tokens: list[str]):
-        self.encoder = Encoder(path)
+        super().__init__(path, keep_ids=False)
         self.proven = frozenset(whole_tokens)
-        self.seen: dict[str, int] = {}
-
-    def count(self, texts: list[str | None]) -> list[int]:
-        """Numbers of tokens of every text; null reads as empty."""
-        out = [0] * len(texts)
-        apart, whole = self.encoder.parted(texts)
-        for i, ids in zip(whole, self.encoder.whole([texts[i] for i in whole]), strict=True):
-            out[i] = len(ids) // 4
-        found = look_up(self.seen, [_keys(texts[i]) for i in apart], self._count_units)
-        for i, row in zip(apart, found, strict=True):
-            out[i] = sum(row)
-        return out
 
-    def _count_units(self, keys: list[str]) -> list[int]:
-        counted, rest = [], []
-        for key in keys:
-            unit = _unit(key)
-            if unit in self.proven:
-                counted.append(1)
-                continue
-            parts = _PRE_TOKENS(unit) if _PLAIN(unit) else [unit]
-            open_parts = [p for p in parts if p not in self.proven]
-            counted.append(len(parts) - len(open_parts))
-            rest += [(len(counted) - 1, p) for p in open_parts]
-        merge = list({p for _, p in rest})
-        merged = dict(zip(merge, [len(ids) // 4 for ids in self.encoder.pieces(merge)], strict=True)) if merge else {}
-        for i, part in rest:
-            counted[i] += merged[part]
-        return counted
+    def work_out(self, units: list[bytes], joinable: int) -> tuple[np.ndarray, np.ndarray]:
+        counted, rest = np.zeros(len(units), np.int64), []
+        for number, raw in enumerate(units):
+            unit = raw.decode()
+            parts = [unit] if unit in self.proven else _PRE_TOKENS(unit) if _PLAIN(unit) else [unit]
+            for part in parts:
+                if part in self.proven:
+                    counted[number] += 1
+                else:
+                    rest.append((number, part.encode()))
+        # a part with a leading space begins a pre-token behind any text; the others are merged alone
+        rest.sort(key=lambda r: r[1][:1] != b" " or not _SOLID[r[1][1:2][0] if r[1][1:2] else 0x20])
+        behind = sum(1 for _, p in rest if p[:1] == b" " and p[1:2] and _SOLID[p[1]])
+        merged, ids = super().work_out([p for _, p in rest], behind)
+        np.add.at(counted, np.array([n for n, _ in rest], np.int64), merged)
+        return counted, ids
+
+    def count(self, column: pa.Array) -> np.ndarray:
+        """Numbers of tokens of every row; null reads as empty."""
+        return np.diff(self.encode(column)[0])
 
 
 class SentencePieceCounter:
@@ -212,5 +334,5 @@ class SentencePieceCounter:
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def count(self, texts: list[str | None]) -> list[int]:
-        return [len(ids) for ids in self.processor.encode([t or "" for t in texts], num_threads=1)]
+    def count(self, column: pa.Array) -> np.ndarray:
+        return np.array([len(ids) for ids in self.processor.encode([t or "" for t in column.to_pylist()], num_threads=1)], np.int64)

@@ -136,20 +136,19 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
         try:
             for batch in batches:
                 out = out or system.open_output_stream(f"{path}/{name}", compression=None)
-                doc_ids, offsets, lengths, ordinals = batch.column(0).to_pylist(), [], [], []
                 first, found = encode(batch.column(1))
-                for doc_id, a, b in zip(doc_ids, first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    ids = np.append(found[a:b], np.uint32(end_id)).astype(f"<u{width}")
-                    out.write(ids.tobytes())
+                ids = np.insert(found.astype(f"<u{width}"), first[1:], end_id)
+                out.write(ids.tobytes())
+                lengths = np.diff(first) + 1
+                ordinals = []
+                for doc_id in batch.column(0).to_pylist():
                     ordinal = ordinal + 1 if doc_id == last else 0
                     last = doc_id
-                    offsets.append(done)
-                    lengths.append(len(ids))
                     ordinals.append(ordinal)
-                    done += len(ids)
-                n = len(doc_ids)
-                columns = [batch.column(0), pa.array(ordinals, pa.int64()), pa.array([shard] * n, pa.int32())]
-                columns += [pa.array([f"{folder}/{name}"] * n), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())]
+                n = len(lengths)
+                columns = [batch.column(0), pa.array(ordinals, pa.int64()), pa.array(np.full(n, shard, np.int32)), pa.array([f"{folder}/{name}"] * n)]
+                columns += [pa.array(done + np.cumsum(lengths) - lengths), pa.array(lengths)]
+                done += len(ids)
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ordinal", "shard", "path", "offset", "length"])
         finally:
             if out is not None:
@@ -263,44 +262,35 @@ def look_up(files: TokenFiles, keys: DataFrame) -> DataFrame:
     return asked.select("doc_id", "path").mapInArrow(find, "doc_id long, shard int, offset long, length long")
 
 
-def read_ids(files: TokenFiles, places: DataFrame) -> DataFrame:
+def read_ids(files: TokenFiles, places: DataFrame, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of ``places(doc_id, shard, offset, length)`` from the shards.
 
     ``start`` counts the ids of all documents before. Neighbouring documents are read at once; the ids come as
-    little-endian unsigned 32-bit bytes.
+    little-endian unsigned 32-bit bytes, or with ``digest`` as ``ids_crc32``, their unsigned crc32.
     """
-    width = files.width
+    width, last_name = files.width, "ids_crc32" if digest else "ids"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = list(zip(*[batch.column(n).to_pylist() for n in ("path", "offset", "length")], strict=True))
-            raws: list[bytes] = []
-            while len(raws) < len(rows):
-                at = len(raws)
+            found: list = []
+            while len(found) < len(rows):
+                at = len(found)
                 path, first, length = rows[at]
                 stop, last = first + length, at + 1
-                while last < len(rows) and rows[last][0] == path and rows[last][1] == stop and (stop + rows[last][2] - first) * width <= READ_BYTES:
+                while last < len(rows) and rows[last][:2] == (path, stop) and (stop + rows[last][2] - first) * width <= READ_BYTES:
                     stop += rows[last][2]
                     last += 1
                 system, place = store(path)
                 with system.open_input_file(place) as file:
                     raw = file.read_at((stop - first) * width, first * width)
+                ids = memoryview(np.frombuffer(raw, f"<u{width}").astype("<u4")).cast("B")
                 for _, offset, length in rows[at:last]:
-                    ids = np.frombuffer(raw, f"<u{width}", length, (offset - first) * width)
-                    raws.append(ids.astype("<u4").tobytes())
-            columns = [batch.column("doc_id"), pc.add(batch.column("base"), batch.column("offset")), batch.column("length"), pa.array(raws, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
+                    one = ids[4 * (offset - first) : 4 * (offset - first + length)]
+                    found.append(zlib.crc32(one) if digest else bytes(one))
+            columns = [batch.column("doc_id"), pc.add(batch.column("base"), batch.column("offset")), batch.column("length")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.int64() if digest else pa.binary())], ["doc_id", "start", "n_tokens", last_name])
 
     rows = places.join(small(files.shards), "shard").select("doc_id", "path", "base", "offset", "length")
     rows = rows.repartitionByRange(shuffle_parts(places.sparkSession), "path", "offset").sortWithinPartitions("path", "offset")
-    return rows.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def digests(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of ``read_ids``."""
-    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
-def crc32(ids: np.ndarray) -> int:
-    """The digest of one document's ids."""
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    return rows.mapInArrow(read, f"doc_id long, start long, n_tokens long, {last_name} " + ("long" if digest else "binary"))

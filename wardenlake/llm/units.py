@@ -10,6 +10,7 @@ hold the string of an added token go to the library whole, as do all texts of ot
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from . import shingles as sh
 
 #: Distinct units a worker remembers, places of its table, and the longest unit that is remembered (bytes).
-REMEMBERED, PLACES, LONGEST = 1_500_000, 1 << 22, 64
+REMEMBERED, PLACES, LONGEST = 400_000, 1 << 20, 64
 
 #: Units that are encoded in one call, and units that are looked up at once.
 CALL, TOGETHER = 2048, 1 << 17
@@ -47,6 +48,7 @@ def load(path: str):
     """A ``tokenizers`` tokenizer without truncation and padding, and the strings of its added tokens."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -101,8 +103,21 @@ class Memory:
         self.ids, self.id_start = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.text, self.text_start = np.zeros(0, np.uint8), np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
+        self.hash = np.zeros(0, np.uint64)  # 0: not in the table
+        self.used = np.zeros(0, bool)  # found again since the last time units were forgotten
         self.id_size = self.text_size = 0
 
+    def forget(self) -> None:
+        """Forget the units that were not found again."""
+        stay = np.flatnonzero(self.used[: self.size] & (self.hash[: self.size] != 0))
+        if len(stay) > REMEMBERED // 2:
+            stay = stay[-(REMEMBERED // 2) :]
+        counts, lengths, keys = self.counts[stay], self.lengths[stay], self.hash[stay]
+        ids = self.ids[spans(self.id_start[stay], counts)] if self.id_size else self.ids[:0]
+        text = self.text[spans(self.text_start[stay], lengths)]
+        self.clear()
+        self.enter(keys, self.append(counts, ids, lengths, text))
+
     @staticmethod
     def _grown(column: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
         if used + len(more) > len(column):
@@ -115,6 +130,8 @@ class Memory:
         at = np.arange(self.size, self.size + len(counts))
         self.counts = self._grown(self.counts, self.size, counts)
         self.lengths = self._grown(self.lengths, self.size, lengths)
+        self.hash = self._grown(self.hash, self.size, np.zeros(len(counts), np.uint64))
+        self.used = self._grown(self.used, self.size, np.zeros(len(counts), bool))
         self.id_start = self._grown(self.id_start, self.size, self.id_size + np.cumsum(counts) - counts)
         self.text_start = self._grown(self.text_start, self.size, self.text_size + np.cumsum(lengths) - lengths)
         self.ids = self._grown(self.ids, self.id_size, ids)
@@ -137,6 +154,7 @@ class Memory:
 
     def enter(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         """Make units that are not in the table found by their hashes (all different)."""
+        self.hash[numbers] = keys
         open_at, place = np.arange(len(keys)), (keys & np.uint64(PLACES - 1)).astype(np.int64)
         while len(open_at):
             free = np.flatnonzero(self.keys[place] == 0)
@@ -228,6 +246,7 @@ class Encoder:
         if len(known):
             equal = same_bytes(data, starts[first[known]], memory.text, memory.text_start[found[known]], lengths[first[known]])
             clash = np.concatenate([clash, known[~equal]])
+            memory.used[found[known]] = True
         fresh = np.flatnonzero(found < 0)
         # units whose hash another unit took are worked out here and not remembered, as are long ones
         other = np.concatenate([np.flatnonzero(lengths > LONGEST), short[~safe], first[clash]])
@@ -277,7 +296,7 @@ class Encoder:
         for at in range(0, len(starts), TOGETHER):
             part = slice(at, at + TOGETHER)
             if self.memory.size > REMEMBERED:
-                self.memory.clear()
+                self.memory.forget()
             numbers = self._numbers(data, starts[part], lengths[part], joinable[part])
             counts.append(self.memory.counts[numbers])
             if self.keep_ids:

@@ -34,6 +34,9 @@ from .shingles import mix
 #: Keys of one index segment on average, bits per open key of a level, and levels before the last keys are listed.
 SEGMENT_KEYS, SPACE, LEVELS = 100_000, 2, 24
 
+#: Bytes of text of one shard on average; a task holds and sorts the texts of one shard.
+SHARD_TEXT = 32 * 1024 * 1024
+
 #: Bytes that one read of a shard takes at most, unless a document alone is longer.
 READ_BYTES = 8 * 1024 * 1024
 
@@ -105,6 +108,18 @@ class PerfectHash:
         return cls(levels, np.frombuffer(raw, "<i8", rest, at)), at + 8 * rest
 
 
+def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task in the order of doc_id and text, nulls first, in batches of the size that came."""
+    held = list(batches)
+    if held:
+        rows = pa.Table.from_batches(held)
+        order = pc.sort_indices(rows, [("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
+        step = held[0].num_rows
+        held.clear()
+        for at in range(0, len(order), step):
+            yield from rows.take(order.slice(at, step)).combine_chunks().to_batches()
+
+
 @dataclass(frozen=True)
 class TokenFiles:
     """A written folder: ``documents(doc_id, ordinal, shard, offset, length)`` is the committed list of the
@@ -134,7 +149,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
         name = attempt_name("ids", shard, ".bin")
         done, last, ordinal, out = 0, None, 0, None
         try:
-            for batch in batches:
+            for batch in ordered(batches):
                 out = out or system.open_output_stream(f"{path}/{name}", compression=None)
                 first, found = encode(batch.column(1))
                 ids = np.insert(found.astype(f"<u{width}"), first[1:], end_id)
@@ -155,8 +170,9 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
                 out.close()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange(parts or shuffle_parts(spark), F.asc_nulls_first("doc_id")).sortWithinPartitions("doc_id", "text")
-    listed = keep(ordered.mapInArrow(write, "doc_id long, ordinal long, shard int, path string, offset long, length long"), "listed")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()["size"]
+    ranges = rows.repartitionByRange(parts or max(shuffle_parts(spark), -(-size // SHARD_TEXT)), F.asc_nulls_first("doc_id"))
+    listed = keep(ranges.mapInArrow(write, "doc_id long, ordinal long, shard int, path string, offset long, length long"), "listed")
 
     shards = listed.groupBy("shard", "path").agg(F.sum("length").alias("ids"))
     before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # one row per shard

@@ -235,22 +235,25 @@ class Encoder:
         """Numbers in the memory of units; new ones are worked out. Long units are appended but not remembered."""
         memory, out = self.memory, np.full(len(starts), -1, np.int64)
         short = np.flatnonzero(lengths <= LONGEST)
-        keys, first, back = np.unique(unit_hashes(data, starts[short], lengths[short]), return_index=True, return_inverse=True)
-        first = short[first]
-        safe = same_bytes(data, starts[short], data, starts[first][back], np.minimum(lengths[short], lengths[first][back]))
-        safe &= lengths[short] == lengths[first][back]
+        keys = unit_hashes(data, starts[short], lengths[short])
         found = memory.find(keys)
         known = np.flatnonzero(found >= 0)
-        agree = memory.lengths[found[known]] == lengths[first[known]]
-        known, clash = known[agree], known[~agree]
-        if len(known):
-            equal = same_bytes(data, starts[first[known]], memory.text, memory.text_start[found[known]], lengths[first[known]])
-            clash = np.concatenate([clash, known[~equal]])
-            memory.used[found[known]] = True
-        fresh = np.flatnonzero(found < 0)
-        # units whose hash another unit took are worked out here and not remembered, as are long ones
-        other = np.concatenate([np.flatnonzero(lengths > LONGEST), short[~safe], first[clash]])
-        new = np.concatenate([first[fresh], other])
+        known = known[memory.lengths[found[known]] == lengths[short[known]]]
+        at, numbers = short[known], found[known]
+        equal = same_bytes(data, starts[at], memory.text, memory.text_start[numbers], lengths[at])
+        out[at[equal]] = numbers[equal]
+        memory.used[numbers[equal]] = True
+
+        unknown = np.flatnonzero(found < 0)
+        fresh, first, back = np.unique(keys[unknown], return_index=True, return_inverse=True)
+        first, unknown = short[unknown[first]], short[unknown]
+        alike = np.flatnonzero(lengths[unknown] == lengths[first][back])
+        alike = alike[same_bytes(data, starts[unknown[alike]], data, starts[first[back[alike]]], lengths[unknown[alike]])]
+        pending = np.full(len(starts), -1, np.int64)
+        pending[unknown[alike]] = back[alike]
+        # long units, and units whose hash another unit took, are worked out here and not remembered
+        other = np.flatnonzero((out < 0) & (pending < 0))
+        new = np.concatenate([first, other])
         if len(new):
             order = np.argsort(~joinable[new], kind="stable")
             units = [data[a : a + n].tobytes() for a, n in zip(starts[new[order]].tolist(), lengths[new[order]].tolist(), strict=True)]
@@ -258,11 +261,10 @@ class Encoder:
             text = np.frombuffer(b"".join(units), np.uint8)
             numbers = np.empty(len(new), np.int64)
             numbers[order] = memory.append(counts, ids if self.keep_ids else ids[:0], lengths[new[order]], text)
-            memory.enter(keys[fresh], numbers[: len(fresh)])
-            found[fresh] = numbers[: len(fresh)]
-            found[clash] = numbers[len(new) - len(clash) :]
-            out[other] = numbers[len(fresh) :]
-        out[short[safe]] = found[back[safe]]
+            memory.enter(fresh, numbers[: len(first)])
+            waiting = np.flatnonzero(pending >= 0)
+            out[waiting] = numbers[pending[waiting]]
+            out[other] = numbers[len(first) :]
         return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

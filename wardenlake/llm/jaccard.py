@@ -27,6 +27,10 @@ from . import shingles as sh
 from .components import components
 from .shared import keep, small
 
+#: Similarity to a lead in percent from which the differences to it decide all pairs around it (``_over_differences``); at
+#: most 2 * percent - 100, so that members below it cannot link with members that link with the lead.
+NEAR = 30
+
 SIGNATURES = "id long, n long, one long, two long, keys array<long>"
 
 
@@ -108,7 +112,7 @@ def _links(items: DataFrame, buckets: DataFrame, width: int, percent: int) -> Da
     met = met.withColumns({"r": F.size("gone").cast("long"), "a": F.size("new").cast("long")})
     met = met.withColumns({
         "linked": F.col("n") * (100 - percent) >= 100 * F.col("r") + percent * F.col("a"),
-        "near": 100 * (F.col("n") - F.col("r")) >= (2 * percent - 100) * (F.col("n") + F.col("a")),
+        "near": 100 * (F.col("n") - F.col("r")) >= min(NEAR, 2 * percent - 100) * (F.col("n") + F.col("a")),
     })
     differences = F.when(F.col("near") | F.col("linked"), F.concat("gone", "new"))
     star = keep(met.select("lead", "x", "n", "r", "a", "linked", "near", differences.alias("differences")), "star")

@@ -47,9 +47,11 @@ def prefix_blocks(ranges: DataFrame) -> DataFrame:
     return out.filter(~parent.between(F.col("_uf"), F.col("_ul"))).drop("_f", "_l", "_uf", "_ul")
 
 
-def _address_blocks(addresses: DataFrame) -> DataFrame:
-    """Each address with the block it lies in at every level."""
-    return addresses.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn(
+def _address_blocks(addresses: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each address with the block it lies in at every level that occurs in the blocks (33 levels at most)."""
+    levels = sorted(r["level"] for r in blocks.select("level").distinct().collect())
+    levels = F.array(*[F.lit(x) for x in levels]).cast("array<int>")
+    return addresses.withColumn("level", F.explode(levels)).withColumn(
         "block", F.expr("shiftright(ip_num, level)")
     )
 
@@ -62,14 +64,14 @@ def narrowest_range(addresses: DataFrame, ranges: DataFrame, value: str) -> Data
     """
     best = F.min(F.struct((F.col("hi") - F.col("lo")).alias("width"), F.col("lo"), F.col(value))).alias("best")
     blocks = prefix_blocks(ranges.select("lo", "hi", value)).groupBy("level", "block").agg(best)
-    hits = _address_blocks(addresses).join(blocks, ["level", "block"])
+    hits = _address_blocks(addresses, blocks).join(blocks, ["level", "block"])
     return hits.groupBy("ip").agg(F.min("best").alias("best")).select("ip", F.col(f"best.{value}").alias(value))
 
 
 def addresses_inside(addresses: DataFrame, ranges: DataFrame) -> DataFrame:
     """Addresses (ip) that lie in any of the ranges (lo, hi)."""
     blocks = prefix_blocks(ranges.select("lo", "hi")).select("level", "block").distinct()
-    return _address_blocks(addresses).join(blocks, ["level", "block"], "left_semi").select("ip").distinct()
+    return _address_blocks(addresses, blocks).join(blocks, ["level", "block"], "left_semi").select("ip").distinct()
 
 
 def last_start_at_or_below(addresses: DataFrame, starts: DataFrame, start: str, payload) -> DataFrame:

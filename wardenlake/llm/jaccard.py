@@ -158,18 +158,21 @@ def _over_differences(star: DataFrame, percent: int) -> DataFrame:
 def _far_pairs(star: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between a member far from the lead of its bucket and another member that does not link with the lead.
 
-    Pairs with a common home, a lead that both are near to, are left out: ``_over_differences`` has decided them.
+    Pairs with a common home, a lead that both are near to, are left out: ``_over_differences`` has decided them. So
+    are pairs whose similarities to the lead differ by more than a link allows (triangle inequality).
     """
     around = star.where("near or linked").select("lead", F.col("x").alias("id"))
     around = around.union(around.select("lead", F.col("lead").alias("id"))).distinct()
     members = around.groupBy("lead").agg(F.count(F.lit(1)).alias("members"))
     home = around.join(members, "lead").groupBy("id").agg(F.max_by("lead", F.struct("members", -F.col("lead"))).alias("home"))
-    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near")
+    near_by = (F.col("n") - F.col("r")) / (F.col("n") + F.col("a"))  # similarity to the lead
+    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near", near_by.alias("at"))
     loose = buckets.where("id <> lead").join(state, ["lead", "id"]).join(home, "id", "left")
-    loose = keep(loose.select("key", "id", "near", "home"), "loose")
-    far = loose.where("not near").select("key", F.col("id").alias("x"), F.col("home").alias("x_home"))
-    other = loose.select("key", F.col("id").alias("y"), "near", F.col("home").alias("y_home"))
-    pairs = far.join(other, "key").where("(x < y or (near and x <> y)) and coalesce(x_home <> y_home, true)")
+    loose = keep(loose.select("key", "id", "near", "home", "at"), "loose")
+    far = loose.where("not near").select("key", F.col("id").alias("x"), F.col("home").alias("x_home"), F.col("at").alias("x_at"))
+    other = loose.select("key", F.col("id").alias("y"), "near", F.col("home").alias("y_home"), F.col("at").alias("y_at"))
+    apart = F.abs(F.col("x_at") - F.col("y_at")) > (100 - percent) / 100 + 1e-9
+    pairs = far.join(other, "key").where("(x < y or (near and x <> y)) and coalesce(x_home <> y_home, true)").where(~apart)
     pairs = keep(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "far")
     pairs = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("x_set")), "x")
     pairs = pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")

@@ -19,7 +19,7 @@ TOKENIZER = units.load(PATH)[0]
 ENCODER = units.Encoder(PATH)
 COUNTER = units.Counter(PATH, units.prove_whole_tokens(PATH))
 
-MARKS = st.sampled_from([*" \n\t\r\x0b\x1c\x85\xa0\xad​　aAéß'st.,!<|>019_漢🙂ªº²", "<|endoftext|>", "  ", " '", "\n ", "x" * 70, " the"])
+MARKS = st.sampled_from([*" \n\t\r\x0b\x1c\x85\xa0\xad​　aAéß'st.,!<|>019_漢🙂ªº²", "<|endoftext|>", "  ", " '", "\n ", "x" * 70, " the", "é.", "×.", "÷", "ɏ's", "1,0", "a.b"])
 TEXTS = st.lists(st.none() | st.lists(MARKS, max_size=25).map("".join) | st.text(max_size=20), max_size=5)
 
 

@@ -3,7 +3,8 @@
 For a byte-level tokenizer that splits with its built-in pattern, a text falls apart in front of every space that a
 printable character follows: the pattern has no look-behind, only ``\\s+`` alternatives can hold a space that is not
 their first character, and those give back the last white space in front of a printable character. So the
-ids of a text are the ids of these units in turn, and a unit that was seen before need not be encoded again. Texts that
+ids of a text are the ids of these units in turn, and a unit that was seen before need not be encoded again. For the same
+reason a text falls apart between a letter or digit and the punctuation behind it, where a run of either always ends. Texts that
 hold the string of an added token go to the library whole, as do all texts of other kinds of tokenizers.
 """
 
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from . import shingles as sh
 
 #: Distinct units a worker remembers, places of its table, and the longest unit that is remembered (bytes).
-REMEMBERED, PLACES, LONGEST = 400_000, 1 << 20, 64
+REMEMBERED, PLACES, LONGEST = 800_000, 1 << 21, 64
 
 #: Units that are encoded in one call, and units that are looked up at once.
 CALL, TOGETHER = 2048, 1 << 17
@@ -29,6 +30,11 @@ CALL, TOGETHER = 2048, 1 << 17
 _SOLID = np.zeros(256, bool)
 _SOLID[0x21:0x7F] = True
 _SOLID[0xC3:0xC9] = True
+#: ASCII letters and digits, and ASCII punctuation.
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[0x21:0x7F] = ~_ALNUM[0x21:0x7F]
 #: Text in which letters, digits and white space are beyond doubt, and its pre-tokens.
 _PLAIN = re.compile(r"[ \n!-~À-ÖØ-öø-ɏ]*").fullmatch
 _PRE_TOKENS = re.compile(
@@ -193,6 +199,16 @@ def same_bytes(one: np.ndarray, starts: np.ndarray, two: np.ndarray, others: np.
     return np.add.reduceat(differs.astype(np.int64), np.cumsum(lengths) - lengths) == 0
 
 
+def breaks(data: np.ndarray) -> np.ndarray:
+    """Where punctuation follows a letter or digit: ASCII, or a letter of U+00C0 to U+023F."""
+    ends = _ALNUM[data]
+    lead, last = data[:-1], data[1:]
+    ends[1:] |= (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    out = np.zeros(len(data), bool)
+    out[1:] = ends[:-1] & _PUNCTUATION[last]
+    return out
+
+
 class Encoder:
     """Token ids of whole texts. ``keep_ids=False`` keeps their numbers only."""
 
@@ -289,7 +305,7 @@ class Encoder:
         joins = np.zeros(len(data), bool)
         joins[:-1] = ((data[:-1] == 0x20) | (data[:-1] == 0x0A)) & solid[1:]
         joins[offsets[1:-1][offsets[1:-1] > 0] - 1] = False  # the solid byte belongs to the next row
-        begins = joins.copy()
+        begins = joins | breaks(data)
         begins[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(begins)
         lengths = np.diff(starts, append=len(data))

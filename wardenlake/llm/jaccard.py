@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from . import shingles as sh
 from .components import components
-from .shared import keep, small
+from .shared import keep, map_batches, small
 
 #: Similarity to a lead in percent from which the differences to it decide all pairs around it (``_over_differences``); at
 #: most 2 * percent - 100, so that members below it cannot link with members that link with the lead.
@@ -49,7 +49,7 @@ def signatures(items: DataFrame, width: int, bands: sh.Bands) -> DataFrame:
                 [batch.column(0), sizes, pa.array(one), pa.array(two), listed], ["id", "n", "one", "two", "keys"]
             )
 
-    return items.select("id", "text").mapInArrow(sign, SIGNATURES)
+    return map_batches(items.select("id", "text"), sign, SIGNATURES)
 
 
 def shingle_sets(items: DataFrame, width: int) -> DataFrame:
@@ -60,7 +60,7 @@ def shingle_sets(items: DataFrame, width: int) -> DataFrame:
             values, begin = sh.distinct_rows(*sh.shingle_rows(*sh.words(batch.column(1)), width))
             yield pa.RecordBatch.from_arrays([batch.column(0), sh.list_column(values, begin)], ["id", "set"])
 
-    return items.select("id", "text").mapInArrow(sets, "id long, set array<long>")
+    return map_batches(items.select("id", "text"), sets, "id long, set array<long>")
 
 
 def similar(items: DataFrame, width: int, percent: int, bands: sh.Bands) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import keep, small
+from .shared import keep, map_batches, small
 from .shingles import buffers
 
 #: Labelled rows of each language that the text model is fitted on at most.
@@ -99,7 +99,7 @@ def fit_text_model(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Tex
                 at = np.flatnonzero(table)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(table[at])], ["language", "place", "n"])
 
-    counted = sample.mapInArrow(count, "language string, place int, n long").groupBy("language", "place").agg(F.sum("n").alias("n"))
+    counted = map_batches(sample, count, "language string, place int, n long").groupBy("language", "place").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     names = sorted(set(rows.column("language").to_pylist()))
     table = np.zeros((len(names), TABLE))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import keep
+from .shared import keep, map_batches
 from .units import Encoder
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -143,7 +143,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, keep_ids
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
     schema = "part int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(cut, schema + ", ids binary" * keep_ids)
+    return map_batches(rows, cut, schema + ", ids binary" * keep_ids)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id: int = 0, keep_ids: bool = False) -> DataFrame:
@@ -182,7 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_i
     ranked = made.join(counts.select("length", "part", "before"), ["length", "part"])
     ranked = ranked.select(*carried, (F.col("rank") + F.col("before")).alias("rank"))
     schema = "ids binary, " * keep_ids + "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    placed = ranked.mapInArrow(place, schema)
+    placed = map_batches(ranked, place, schema)
     return placed.select(*names[keep_ids:], *["ids"] * keep_ids)
 
 

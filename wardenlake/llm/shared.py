@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,9 @@ from ..session import configure, work_path
 #: Rows of one Arrow batch. Texts can be long, so a batch stays far below the default of 10,000 rows.
 BATCH_ROWS = 256
 
+#: Bytes of one Arrow batch, unless a row alone is longer: the arrays of a task grow with the batch.
+BATCH_BYTES = 4 * 1024 * 1024
+
 #: Largest lookup that is broadcast; a larger one is joined by shuffle.
 LOOKUP_BYTES = 16 * 1024 * 1024
 
@@ -21,9 +27,30 @@ LOOKUP_BYTES = 16 * 1024 * 1024
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
+def give_back() -> None:
+    """Hand freed memory of this process back to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(rows: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers give their freed memory back at the end of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return rows.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from . import shingles as sh
 from .jaccard import similar
-from .shared import keep, small
+from .shared import keep, map_batches, small
 
 #: Words of a shingle, similarity in percent, and the bands: a pair of lines at 0.8 shares no key with a probability of 4e-4.
 WIDTH, PERCENT = 5, 80
@@ -79,7 +79,7 @@ def sentences(docs: DataFrame) -> DataFrame:
             arrays = [ids, pa.array(start, pa.int32()), pa.array(length, pa.int32()), pa.array(sh.mix(key + length.astype(np.uint64)).view(np.int64))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "words", "key"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, SENTENCES)
+    return map_batches(docs.select("doc_id", "text"), cut, SENTENCES)
 
 
 def lines(docs: DataFrame, least: int = LINE_WORDS) -> DataFrame:
@@ -100,7 +100,7 @@ def lines(docs: DataFrame, least: int = LINE_WORDS) -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "start", "words", "text"])
 
-    made = docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, start int, words int, text string")
+    made = map_batches(docs.select("doc_id", "text"), cut, "doc_id long, start int, words int, text string")
     return made.withColumn("id", F.xxhash64("doc_id", "start"))
 
 

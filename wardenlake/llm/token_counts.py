@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import map_batches
 from .units import Counter, SentencePieceCounter, prove_whole_tokens
 
 _COUNTERS: dict[str, object] = {}
@@ -45,5 +46,5 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, numbers], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
+    counted = map_batches(rows, count, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

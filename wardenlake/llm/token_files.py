@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .packing import encoder
-from .shared import attempt_name, fresh_folder, keep, shuffle_parts, small, store
+from .shared import attempt_name, fresh_folder, keep, map_batches, shuffle_parts, small, store
 from .shingles import mix
 
 #: Keys of one index segment on average, bits per open key of a level, and levels before the last keys are listed.
@@ -172,7 +172,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 0, parts: int | Non
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()["size"]
     ranges = rows.repartitionByRange(parts or max(shuffle_parts(spark), -(-size // SHARD_TEXT)), F.asc_nulls_first("doc_id"))
-    listed = keep(ranges.mapInArrow(write, "doc_id long, ordinal long, shard int, path string, offset long, length long"), "listed")
+    listed = keep(map_batches(ranges, write, "doc_id long, ordinal long, shard int, path string, offset long, length long"), "listed")
 
     shards = listed.groupBy("shard", "path").agg(F.sum("length").alias("ids"))
     before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # one row per shard
@@ -192,7 +192,7 @@ def _with_segment(rows: DataFrame, segments: int) -> DataFrame:
 
     fields = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     parts = max(1, min(segments, shuffle_parts(rows.sparkSession)))
-    marked = rows.mapInArrow(add, fields + ", segment long")
+    marked = map_batches(rows, add, fields + ", segment long")
     return marked.repartition(parts, "segment").sortWithinPartitions("segment")
 
 
@@ -232,7 +232,7 @@ def _write_index(keyed: DataFrame, folder: str, segments: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"segment": [segment], "path": [f"{folder}/{name}"], "keys": [len(keys)]})
 
     rows = _with_segment(keyed.select("doc_id", "shard", "offset", "length"), segments)
-    return keep(rows.mapInArrow(write, "segment long, path string, keys long"), "segments")
+    return keep(map_batches(rows, write, "segment long, path string, keys long"), "segments")
 
 
 class Segment:
@@ -275,7 +275,7 @@ def look_up(files: TokenFiles, keys: DataFrame) -> DataFrame:
     asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
     asked = _with_segment(asked, files.segment_count)
     asked = asked.join(small(files.segments.select("segment", "path")), "segment")
-    return asked.select("doc_id", "path").mapInArrow(find, "doc_id long, shard int, offset long, length long")
+    return map_batches(asked.select("doc_id", "path"), find, "doc_id long, shard int, offset long, length long")
 
 
 def read_ids(files: TokenFiles, places: DataFrame, digest: bool = False) -> DataFrame:
@@ -309,4 +309,4 @@ def read_ids(files: TokenFiles, places: DataFrame, digest: bool = False) -> Data
 
     rows = places.join(small(files.shards), "shard").select("doc_id", "path", "base", "offset", "length")
     rows = rows.repartitionByRange(shuffle_parts(places.sparkSession), "path", "offset").sortWithinPartitions("path", "offset")
-    return rows.mapInArrow(read, f"doc_id long, start long, n_tokens long, {last_name} " + ("long" if digest else "binary"))
+    return map_batches(rows, read, f"doc_id long, start long, n_tokens long, {last_name} " + ("long" if digest else "binary"))

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import attempt_name, fresh_folder, keep, shuffle_parts, small, store
+from .shared import attempt_name, fresh_folder, keep, map_batches, shuffle_parts, small, store
 
 #: Fixed values of the format (WARC 1.1 and its revisit profile for equal payloads).
 VERSION = "WARC/1.1"
@@ -95,7 +95,7 @@ def write_archives(pages: DataFrame, least: int = LEAST_PAYLOAD, date: str = "19
             if out is not None:
                 out.close()
 
-    return keep(decide(pages, least).mapInArrow(write, INDEX), "warc-index")
+    return keep(map_batches(decide(pages, least), write, INDEX), "warc-index")
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
@@ -154,7 +154,7 @@ def read_records(selected: DataFrame) -> DataFrame:
     rows = selected.select("path", "offset", "length")
     rows = rows.repartitionByRange(shuffle_parts(selected.sparkSession), "path", "offset").sortWithinPartitions("path", "offset")
     schema = "page_id long, url string, record_type string, refers_to long, payload string, payload_bytes long, payload_digest string"
-    return rows.mapInArrow(read, schema)
+    return map_batches(rows, read, schema)
 
 
 #: Oracle of the round trip (payload sizes in UTF-8, digests in lower-case hex).

@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 from . import shingles as sh
 
 #: Distinct units a worker remembers, places of its table, and the longest unit that is remembered (bytes).
-REMEMBERED, PLACES, LONGEST = 800_000, 1 << 21, 64
+REMEMBERED, PLACES, LONGEST = 500_000, 1 << 20, 64
 
 #: Units that are encoded in one call, and units that are looked up at once.
-CALL, TOGETHER = 2048, 1 << 17
+CALL, TOGETHER = 2048, 1 << 15
 
 #: First bytes of characters that are no white space in any reading: printable ASCII and U+00C0 to U+023F.
 _SOLID = np.zeros(256, bool)
@@ -119,8 +119,8 @@ class Memory:
         if len(stay) > REMEMBERED // 2:
             stay = stay[-(REMEMBERED // 2) :]
         counts, lengths, keys = self.counts[stay], self.lengths[stay], self.hash[stay]
-        ids = self.ids[spans(self.id_start[stay], counts)] if self.id_size else self.ids[:0]
-        text = self.text[spans(self.text_start[stay], lengths)]
+        ids = taken(self.ids, self.id_start[stay], counts) if self.id_size else self.ids[:0]
+        text = taken(self.text, self.text_start[stay], lengths)
         self.clear()
         self.enter(keys, self.append(counts, ids, lengths, text))
 
@@ -179,6 +179,14 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
+def taken(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The spans of a buffer, one after the other. Positions are made for some spans at a time: they take more room."""
+    parts = [data[:0]]
+    for at in range(0, len(starts), TOGETHER):
+        parts.append(data[spans(starts[at : at + TOGETHER], lengths[at : at + TOGETHER])])
+    return np.concatenate(parts)
+
+
 def unit_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Hash of the bytes of every unit, never 0. All units have a byte."""
     if not len(lengths):
@@ -223,17 +231,19 @@ class Encoder:
 
     def whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of tokens and ids of texts, one after the other, from the library."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ids = [np.array(i, np.uint32) for i in found]
+        ids = []
+        for at in range(0, len(texts), 64):  # the library's results are far larger than their ids
+            found = self.tokenizer.encode_batch_fast(texts[at : at + 64], add_special_tokens=False)
+            ids += [np.array(e.ids, np.uint32) for e in found]
         return np.array([len(i) for i in ids], np.int64), np.concatenate(ids) if ids else np.zeros(0, np.uint32)
 
     def joined(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for units that begin a pre-token behind any text: many are encoded in one text, which is cut again
         where the bytes of the tokens reach the end of a unit."""
-        groups = [units[i : i + CALL] for i in range(0, len(units), CALL)]
-        found = self.tokenizer.encode_batch_fast([b"".join(g).decode() for g in groups], add_special_tokens=False)
         counts, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        for group, encoded in zip(groups, found, strict=True):
+        for at in range(0, len(units), CALL):
+            group = units[at : at + CALL]
+            (encoded,) = self.tokenizer.encode_batch_fast([b"".join(group).decode()], add_special_tokens=False)
             got = np.array(encoded.ids, np.uint32)
             ends = np.cumsum(np.fromiter(map(len, group), np.int64, len(group)))
             cuts = np.searchsorted(np.cumsum(self.token_bytes[got]), ends, "left") + 1

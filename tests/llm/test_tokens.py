@@ -127,7 +127,9 @@ def test_every_capacity_holds(rule):
         packing.plan_bins({101: 1}, capacity)
 
 
-def test_token_files_round_trip(engine):
+@pytest.mark.parametrize("segment_keys", [token_files.SEGMENT_KEYS, 16])
+def test_token_files_round_trip(engine, monkeypatch, segment_keys):
+    monkeypatch.setattr(token_files, "SEGMENT_KEYS", segment_keys)
     rows = {r.doc_id: r for r in catalog.op9_token_files(engine, SF).collect()}
     at = 0
     for r in engine.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect():

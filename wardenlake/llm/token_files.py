@@ -197,12 +197,13 @@ def _with_segment(rows: DataFrame, segments: int) -> DataFrame:
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[object, pa.Table]]:
-    """Tables of equal values of a column of batches sorted by it."""
+    """Tables of equal neighbouring values of a column of batches."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         while batch.num_rows:
             value = batch.column(column)[0]
-            cut = int(pc.sum(pc.equal(batch.column(column), value)).as_py())
+            cut = pc.index(pc.equal(batch.column(column), value), False).as_py()
+            cut = batch.num_rows if cut < 0 else cut
             if held and held[0].column(column)[0] != value:
                 yield held[0].column(column)[0].as_py(), pa.Table.from_batches(held)
                 held = []
@@ -275,7 +276,8 @@ def look_up(files: TokenFiles, keys: DataFrame) -> DataFrame:
     asked = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
     asked = _with_segment(asked, files.segment_count)
     asked = asked.join(small(files.segments.select("segment", "path")), "segment")
-    return map_batches(asked.select("doc_id", "path"), find, "doc_id long, shard int, offset long, length long")
+    asked = asked.select("doc_id", "path").sortWithinPartitions("path")  # behind the join: Spark drops a sort in front of it
+    return map_batches(asked, find, "doc_id long, shard int, offset long, length long")
 
 
 def read_ids(files: TokenFiles, places: DataFrame, digest: bool = False) -> DataFrame:

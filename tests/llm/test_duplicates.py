@@ -3,6 +3,7 @@
 import random
 import re
 
+import corpus_pipeline
 from odd_rows import empty, engine, odd  # noqa: F401
 from wardenlake.llm import line_dedup, near_dedup, shingles, substring_dedup
 from wardenlake.llm.components import components
@@ -142,6 +143,17 @@ def test_lines_of_copies_and_odd_rows_stay(engine, odd, empty):
     assert line_dedup.drop_recurring_lines(empty).count() == 0
 
 
+def test_pipeline_cuts_footers_of_any_share_below_a_copy(engine):
+    draw = random.Random(12)
+    footer = "All rights of these pages are kept by their owner"
+    rows = [(k, "\n".join([" ".join(f"u{draw.randrange(10**6)}" for _ in range(1 + k)), footer])) for k in range(30)]
+    rows += [(100 + k, footer + "\n" + footer) for k in range(3)]
+    docs = engine.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in corpus_pipeline.without_templates(engine, docs, "").collect()}
+    assert {k for k, t in left.items() if footer not in t} == set(range(30))
+    assert all(left[k] == dict(rows)[k] for k in (100, 101, 102)) and footer not in left[0]
+
+
 def test_words_of_any_slice(monkeypatch):
     import pyarrow as pa
 

@@ -110,6 +110,44 @@ def test_pasted_passages_are_found(engine):
     assert all(cut[k] == t for k, t in rows if k % 10 != 3)
 
 
+def test_passages_between_sentence_ends_are_found(engine):
+    draw = random.Random(21)
+
+    def words(count):
+        return [f"s{draw.randrange(10**6)}" for _ in range(count)]
+
+    stops = words(51)
+    stops[17] += "."
+    stops[32] += "."
+    for passage in (stops, words(51), words(50)):
+        rows = []
+        for number in range(40):
+            text = words(40)
+            if number % 10 == 3:
+                text = [*words(number), *words(5), *passage, *words(5), *words(60 - number)]
+            rows.append((number, " ".join(text)))
+        runs = substring_dedup.repeated_paragraphs(engine.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id for r in runs} == {13, 23, 33} and {r.keeper_doc_id for r in runs} == {3}
+        for r in runs:
+            held = dict(rows)[r.doc_id].split()[r.start : r.start + r.words]
+            assert set(held) <= set(passage) and r.words >= 20
+
+
+def test_every_common_run_shares_a_stretch():
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    for size in (35, 50, 80):
+        run = [f"r{draw.randrange(10**6)}" for _ in range(size)]
+        texts = ["", "a b", *[" ".join([f"{n}x{k}" for k in range(draw.randrange(40))] + run + [f"{n}y{k}" for k in range(draw.randrange(40))]) for n in range(30)]]
+        hashes, first = shingles.words(pa.array(texts))
+        at, keys = substring_dedup._stretches(hashes, first)
+        held = [{int(k): int(a - first[n]) for a, k in zip(at, keys, strict=True) if first[n] <= a < first[n + 1]} for n in range(len(texts))]
+        common = set.intersection(*map(set, held[2:]))
+        places = [held[n][k] - texts[n].split().index(run[0]) for n in range(2, len(texts)) for k in common]
+        assert common and min(places) <= 15 and max(places) + 20 >= size - 15 and not held[0] and not held[1]
+
+
 def test_changed_lines_are_found(engine):
     draw = random.Random(4)
     line = [f"t{draw.randrange(9000)}" for _ in range(80)]

@@ -2,9 +2,10 @@
 
 Two sizes of paragraphs are compared. Lines are banded by MinHash and confirmed by exact Jaccard similarity, so a changed
 line is found as well. Sentences (a line cut behind a full stop, and behind words that a hash of the word selects if
-it has no full stops) are matched whole, so a passage that was pasted into the middle of a line is found between its
-first and last sentence. Neighbouring repeated paragraphs of a document form a run; runs of at least ``LEAST_WORDS``
-words count.
+it has no full stops) are matched whole. Stretches of ``STRETCH`` words, of which the one with the least hash among
+``NEIGHBOURS`` neighbouring ones is taken, depend on their own words only, so a passage that was pasted into the middle of
+a line is found wherever its copies begin and end. Neighbouring repeated paragraphs of a document form a run; runs of
+at least ``LEAST_WORDS`` words count.
 """
 
 from __future__ import annotations
@@ -25,14 +26,18 @@ from .shared import keep, map_batches, small
 WIDTH, PERCENT = 5, 80
 BANDS = sh.Bands(bands=12, rows=3, both=False)
 
-#: Least words of a line that is banded, and of a run that is removed. Copies of a passage lose at most their first and last
-#: sentence, so passages of 50 words give runs of this size.
+#: Least words of a line that is banded, and of a run that is removed.
 LINE_WORDS, LEAST_WORDS = 20, 20
 
+#: Words of a stretch, and neighbouring stretches of which one is taken. Any common run of ``STRETCH + NEIGHBOURS - 1`` words
+#: shares a stretch. The first and the last that a longer run shares lie at most ``NEIGHBOURS - 1`` words from its ends and
+#: those between overlap, so common runs of 50 words give runs of at least ``LEAST_WORDS``.
+STRETCH, NEIGHBOURS = 20, 16
+
 #: A sentence longer than this is cut behind words whose hash is divisible by ``CUT_EVERY``.
 LONG_SENTENCE, CUT_EVERY = 30, 8
 
-SENTENCES = "doc_id long, start int, words int, key long"
+SENTENCES = "doc_id long, start int, words int, key long, stretch boolean"
 
 
 def _ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -52,9 +57,40 @@ def _ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return stop[at] | ends_line | row_end[at + 1]
 
 
+_ODD, _TURN = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _stretches(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and keys of the chosen stretches of all rows; rows of fewer words than a stretch have none."""
+    count = np.maximum(np.diff(first) - STRETCH + 1, 0)
+    row = np.repeat(np.arange(len(count)), count)
+    if not len(row):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    begin = np.cumsum(count) - count
+    at = np.arange(len(row)) - begin[row] + first[row]
+    # hashes of stretches from running sums of words times powers; the power of the place is taken out again
+    size = len(hashes)
+    up, down = np.full(size, _ODD, np.uint64), np.full(size, pow(_ODD, -1, 2**64), np.uint64)
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up, dtype=np.uint64)])
+    value = sh.mix((sums[at + STRETCH] - sums[at]) * down[at])
+    # place of the least value among the neighbours from every place on, by doubling; windows end with their row
+    last = begin + count - 1
+    least, span = np.arange(len(row)), 1
+    while span < NEIGHBOURS:
+        step = min(span, NEIGHBOURS - span)
+        other = least[np.minimum(np.arange(len(row)) + step, last[row])]
+        least = np.where(value[other] < value[least], other, least)
+        span += step
+    full = np.arange(len(row)) <= np.maximum(last - NEIGHBOURS + 1, begin)[row]
+    chosen = np.unique(least[full])
+    return at[chosen], sh.mix(value[chosen] ^ _TURN)
+
+
 def sentences(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, words, key) of the sentences of every row of ``docs(doc_id, text)``: first word, number of words
-    and a hash of its words (A-Z lower-cased)."""
+    """(doc_id, start, words, key, stretch) of the sentences and the chosen stretches of every row of ``docs(doc_id, text)``:
+    first word, number of words, a hash of its words (A-Z lower-cased) and whether it is a stretch."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,11 +109,15 @@ def sentences(docs: DataFrame) -> DataFrame:
             heads = np.flatnonzero(np.concatenate([[True], end[:-1]]))
             length = np.diff(np.append(heads, len(hashes)))
             place = np.arange(len(hashes)) - np.repeat(heads, length)
-            key = np.add.reduceat(sh.mix(hashes + (place.astype(np.uint64) + np.uint64(1)) * sh._BASE), heads)
+            key = sh.mix(np.add.reduceat(sh.mix(hashes + (place.astype(np.uint64) + np.uint64(1)) * sh._BASE), heads) + length.astype(np.uint64))
+            places, keys = _stretches(hashes, first)
+            stretch = np.repeat([False, True], [len(heads), len(places)])
+            heads, key = np.concatenate([heads, places]), np.concatenate([key, keys])
+            length = np.concatenate([length, np.full(len(places), STRETCH, length.dtype)])
             ids = batch.column(0).take(pa.array(row[heads]))
             start = heads - first[row[heads]]
-            arrays = [ids, pa.array(start, pa.int32()), pa.array(length, pa.int32()), pa.array(sh.mix(key + length.astype(np.uint64)).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "words", "key"])
+            arrays = [ids, pa.array(start, pa.int32()), pa.array(length, pa.int32()), pa.array(key.view(np.int64)), pa.array(stretch)]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "words", "key", "stretch"])
 
     return map_batches(docs.select("doc_id", "text"), cut, SENTENCES)
 
@@ -127,7 +167,7 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     same = keep(pieces.join(spread, "key"), "sentences")
     keepers = same.where("doc_id = first").groupBy("key").agg(F.min("start").alias("keeper_start"))
     same = same.join(small(keep(keepers, "keepers")), "key")
-    same = same.select("doc_id", "start", "words", F.col("first").alias("keeper"), "keeper_start", F.col("key").alias("cluster"))
+    same = same.select("doc_id", "start", "words", F.col("first").alias("keeper"), "keeper_start", F.col("key").alias("cluster"), "stretch")
 
     # lines that are similar to lines of other documents
     named = keep(lines(rows), "lines")
@@ -138,8 +178,9 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last"))
     first = first.where("first.doc_id <> last")
     alike = placed.join(small(keep(first, "line-keepers")), "component").select(
-        "doc_id", "start", "words", F.col("first.doc_id").alias("keeper"), F.col("first.start").alias("keeper_start"), F.col("component").alias("cluster")
-    )
+        "doc_id", "start", "words", F.col("first.doc_id").alias("keeper"), F.col("first.start").alias("keeper_start"), F.col("component").alias("cluster"),
+        F.lit(False).alias("stretch"),
+    )
 
     # runs of neighbouring repeated paragraphs that an earlier document keeps
     found = same.union(alike).where("doc_id <> keeper").distinct()
@@ -148,10 +189,14 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     found = found.withColumn("fresh", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
     found = found.withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    head = F.min(F.struct("start", "keeper", "keeper_start", "cluster"))
-    runs = found.groupBy("doc_id", "run").agg(head.alias("head"), F.max("end").alias("end"))
+    # which stretches are taken at the ends of a passage depends on the words around it, so the smallest doc_id that holds
+    # the passage may keep only the next stretch
+    found = found.withColumn("begin", F.min("start").over(Window.partitionBy("doc_id", "run")))
+    leads = (F.col("start") == F.col("begin")) | (F.col("stretch") & (F.col("start") < F.col("begin") + NEIGHBOURS))
+    head = F.min(F.when(leads, F.struct("keeper", "keeper_start", "cluster")))
+    runs = found.groupBy("doc_id", "run", "begin").agg(head.alias("head"), F.max("end").alias("end"))
     runs = runs.select(
-        "doc_id", F.col("head.start").alias("start"), (F.col("end") - F.col("head.start")).alias("words"),
+        "doc_id", F.col("begin").alias("start"), (F.col("end") - F.col("begin")).alias("words"),
         F.col("head.keeper").alias("keeper_doc_id"), F.col("head.keeper_start").alias("keeper_start"), F.col("head.cluster").alias("cluster"),
     )
     return runs.where(F.col("words") >= least_words)

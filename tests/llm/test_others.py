@@ -60,6 +60,15 @@ def test_new_parameters_are_caught_if_consistent(engine, odd, empty):
     assert decontamination.drop_contaminated(odd, bench.limit(0)).count() == odd.count()
 
 
+def test_short_items_are_found_at_any_place(engine):
+    words = "which colour does a ripe lemon have when someone picks it today".split(" ")
+    items = [(n, " ".join(words[:n])) for n in range(8, 12)]
+    bench = engine.createDataFrame(items, "item_id long, text string")
+    docs = [(100 * n + k, " ".join(f"{'abcdefgh'[j]}x" for j in range(k)) + " " + text + " end of it") for n, text in items for k in range(8)]
+    found = {(r.doc_id, r.item_id) for r in decontamination.contaminated(engine.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert found >= {(d, d // 100) for d, _ in docs}
+
+
 def test_search_of_odd_vectors(engine):
     rows = [(k, [1.0 if (k >> b) & 1 else -1.0 for b in range(6)]) for k in range(0, 60)] + [(100, None), (None, [1.0]), (120, []), (140, [1.0, None, -1.0])]
     rows += [(200 + k, [1.0] * 6) for k in range(30)]

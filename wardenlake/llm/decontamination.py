@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from .shared import keep, small
 
-#: Tokens of a window, and steps between the windows of a document that look for candidates. Any common run of
-#: ``WINDOW + STEP - 1`` tokens holds such a window.
-WINDOW, STEP = 8, 4
+#: Tokens of a window.
+WINDOW = 8
 
 #: Share of an item's windows that a document must hold.
 SHARE = 0.5
@@ -53,10 +52,10 @@ def canonical(words: Column) -> Column:
     return F.transform(words, one)
 
 
-def _starts(size: Column, window: Column | int, step: int) -> Column:
+def _starts(size: Column, window: Column | int) -> Column:
     """Places (from 1) at which windows begin; a text that is shorter than a window has none."""
     last = size - window + 1
-    return F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(1))).otherwise(F.array().cast("array<int>"))
 
 
 def _hash_at(forms: Column, at: Column, window: Column | int) -> Column:
@@ -69,14 +68,14 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("words"))
     rows = rows.distinct().withColumn("forms", canonical(F.col("words"))).withColumn("size", F.size("words")).where("size > 0")
     rows = rows.withColumn("width", F.least("size", F.lit(window)))
-    rows = rows.select("*", F.explode(_starts(F.col("size"), F.col("width"), 1)).alias("at"))
+    rows = rows.select("*", F.explode(_starts(F.col("size"), F.col("width"))).alias("at"))
     return rows.select(
         "item_id", "width", "at", _hash_at(F.col("forms"), F.col("at"), F.col("width")).alias("key"),
         (F.col("size") - F.col("width") + 1).alias("n_windows"), F.slice("words", "at", "width").alias("item_words"),
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, step: int = STEP, share: float = SHARE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_windows, matched, n_slots, changed) of the documents that hold a benchmark item.
 
     ``matched``: windows of the item found at consistent places; at least ``share`` of ``n_windows``. ``n_slots`` counts the
@@ -97,21 +96,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, st
             F.lit(0).alias("n_slots"), F.lit(0).alias("changed"),
         )
 
-    def places(width: int, every: int) -> Column:
-        def one(at: Column) -> Column:
-            return F.struct(at.alias("at"), F.lit(width).alias("width"), _hash_at(F.col("forms"), at, width).alias("key"))
+    def places(width: int) -> Column:
+        return F.transform(_starts(F.size("forms"), width), lambda at: F.struct(at.alias("at"), F.lit(width).alias("width")))
 
-        return F.transform(_starts(F.size("forms"), width, every), one)
-
-    def windows(text: DataFrame, carried: list[str], steps: dict[int, int]) -> DataFrame:
+    def windows(text: DataFrame, carried: list[str]) -> DataFrame:
         forms = text.withColumn("words", tokens(F.col("text"))).withColumn("forms", canonical(F.col("words")))
-        every = F.concat(*[places(width, s) for width, s in steps.items()])
-        return forms.select(*carried, F.explode(every).alias("w")).select(*carried, "w.at", "w.width", "w.key")
+        begun = forms.select(*carried, "forms", F.explode(F.concat(*[places(width) for width in widths])).alias("w"))
+        return begun.select(*carried, "w.at", "w.width", _hash_at(F.col("forms"), F.col("w.at"), F.col("w.width")).alias("key"))
 
-    looked = windows(rows, ["doc_id"], {w: step if w == window else 1 for w in widths})
+    looked = windows(rows, ["doc_id"])
     candidates = small(keep(looked.join(keys, "key", "left_semi").select("doc_id").distinct(), "candidates"))
     near = rows.join(candidates, "doc_id", "left_semi").distinct()
-    found = windows(near, ["doc_id", "words"], dict.fromkeys(widths, 1))
+    found = windows(near, ["doc_id", "words"])
     found = found.join(keys, "key", "left_semi").withColumn("words", F.slice("words", F.col("at"), F.col("width")))
     met = found.join(small(items.withColumnRenamed("at", "item_at")), ["key", "width"])
 

@@ -1,6 +1,7 @@
 """Language, decontamination, code search, web archives, the pipeline and the registered SQL."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
@@ -69,6 +70,31 @@ def test_short_items_are_found_at_any_place(engine):
     assert found >= {(d, d // 100) for d, _ in docs}
 
 
+def test_names_at_the_start_of_a_sentence_are_parameters(engine):
+    item = (
+        "Anna buys ripe plums at our market every week. Anna pays exactly as much for plums as pears. "
+        "Anna gives half of all fruit to their friends. Anna asks us how many plums are left now? the end when all is told"
+    )
+    other = "If they leave early then nobody sees where it went. When it rains the path is closed to all of us now"
+    bench = engine.createDataFrame([(1, item), (2, "Paris"), (3, other)], "item_id long, text string")
+    texts = {
+        10: item.replace("Anna", "Bob"), 11: "Some words. " + item.replace("Anna", "Mary Ann") + " More words.", 12: item,
+        13: item.replace("Anna", "Bob", 2).replace("Anna", "Carl"), 14: "London", 15: other, 16: "Bob goes home. Then Carl goes home too.",
+        17: "Paris is far",
+    }
+    rows = decontamination.contaminated(engine.createDataFrame(list(texts.items()), "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(10, 1), (11, 1), (12, 1), (15, 3), (17, 2)}
+    assert {r.doc_id: r.changed for r in rows} == {10: 1, 11: 1, 12: 0, 15: 0, 17: 0}
+
+
+def test_readings_of_a_text(engine):
+    row = engine.createDataFrame([("Then Anna Smith met USA2 and Bob, 5 Miles off. Rain (Now) xAnna 5 km",)], "text string")
+    second = decontamination.tokens(F.col("text"))
+    got = row.select(decontamination.first_reading(second).alias("a"), decontamination.canonical(second).alias("b")).first()
+    assert [w.strip(decontamination.NAME + decontamination.UNIT) for w in got.a][:3] == ["Then", "Anna Smith", "met"]
+    assert got.b[0] == decontamination.NAME and got.b[1] == "met" and got.a[-1] == decontamination.UNIT + "km"
+
+
 def test_search_of_odd_vectors(engine):
     rows = [(k, [1.0 if (k >> b) & 1 else -1.0 for b in range(6)]) for k in range(0, 60)] + [(100, None), (None, [1.0]), (120, []), (140, [1.0, None, -1.0])]
     rows += [(200 + k, [1.0] * 6) for k in range(30)]

@@ -148,15 +148,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
             F.lit(0).alias("n_slots"), F.lit(0).alias("changed"),
         )
 
-    def places(width: int) -> Column:
-        return F.transform(_starts(F.size("forms"), width), lambda at: F.struct(at.alias("at"), F.lit(width).alias("width")))
-
     def windows(text: DataFrame, carried: list[str]) -> DataFrame:
         read = text.withColumn("second", tokens(F.col("text"))).withColumn("first", first_reading(F.col("second")))
         both = [F.struct(F.lit(n).alias("reading"), F.col(c).alias("words"), canonical(F.col(c)).alias("forms")) for n, c in ((1, "first"), (2, "second"))]
         forms = read.select("doc_id", F.explode(F.array(*both)).alias("r")).select("doc_id", "r.*")
-        begun = forms.select(*carried, "forms", F.explode(F.concat(*[places(width) for width in widths])).alias("w"))
-        return begun.select(*carried, "w.at", "w.width", _hash_at(F.col("forms"), F.col("w.at"), F.col("w.width")).alias("key"))
+        # nothing interpreted from here on: a row of every place would hold a copy of its text
+        begun = forms.select(*carried, "forms", F.explode(_starts(F.size("forms"), widths[0])).alias("at"))
+        begun = begun.select("*", F.explode(F.array(*[F.lit(w) for w in widths])).alias("width")).where("at + width - 1 <= size(forms)")
+        return begun.select(*carried, "at", "width", _hash_at(F.col("forms"), F.col("at"), F.col("width")).alias("key"))
 
     looked = windows(rows, ["doc_id", "reading"])
     candidates = small(keep(looked.join(keys, ["reading", "key"], "left_semi").select("doc_id").distinct(), "candidates"))

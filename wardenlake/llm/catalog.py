@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, language_id, lexical_search, line_dedup, near_dedup, packing, substring_dedup, token_counts, token_files, topk_search, warc
+from . import chat, decontamination, language_id, lexical_search, line_dedup, near_dedup, packing, phrases, substring_dedup, token_counts, token_files, topk_search, warc
 from .shared import table
 
 #: Tokenizer of the token queries; every operator takes the path as a parameter.
@@ -63,6 +63,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, inside=100, top=2000)
+
+
 def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.windows(turns.union(chat.awkward_conversation(spark)), budget=1024, history=128))
@@ -75,13 +79,13 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = [
     op1_language_id, op2_token_counts, op3_substring_dedup, op4_line_dedup, op5_near_dedup, op6_packing, op7_decontamination,
-    op8_topk_search, op9_token_files, op10_warc, op12_chat_formatting, op13_lexical_search, language_id_pages,
+    op8_topk_search, op9_token_files, op10_warc, op11_phrases, op12_chat_formatting, op13_lexical_search, language_id_pages,
 ]
 
 _ORACLE = {
-    "op4_line_dedup": line_dedup.SQL, "op8_topk_search": topk_search.SQL, "op10_warc": warc.SQL, "op12_chat_formatting": chat.SQL,
-    "op13_lexical_search": lexical_search.SQL,
-}
+    "op4_line_dedup": line_dedup.SQL, "op8_topk_search": topk_search.SQL, "op10_warc": warc.SQL, "op11_phrases": phrases.SQL,
+    "op12_chat_formatting": chat.SQL, "op13_lexical_search": lexical_search.SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -44,16 +44,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _slice_words(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions of the words of a slice. ``firsts``: positions at which a row begins."""
-    body = ~_SEPARATOR[data]
+def _slice_words(data: np.ndarray, firsts: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, start positions and lengths of the words of a slice. ``firsts``: positions at which a row begins."""
+    body = ~separator[data]
     begin = body.copy()
     begin[1:] &= ~body[:-1]
     firsts = firsts[firsts < len(data)]
     begin[firsts] |= body[firsts]
     at = np.flatnonzero(body)
     if not len(at):
-        return np.empty(0, U64), np.empty(0, np.int64)
+        return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
     head = np.flatnonzero(begin[at])
     starts = at[head]
     length = np.diff(np.append(head, len(at)))
@@ -62,33 +62,43 @@ def _slice_words(data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.n
     power[0] = U64(1)
     power = np.cumprod(power, dtype=U64)
     value = _BYTE[_FOLD[data[at]]] * power[place]
-    return mix(np.add.reduceat(value, head) + length.astype(U64) * _STEP), starts
+    return mix(np.add.reduceat(value, head) + length.astype(U64) * _STEP), starts, length
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of every row, A-Z lower-cased, and the first word of each row
     (one entry more than rows)."""
     data, offsets = buffers(column)
-    out, place = [], []
+    hashes, starts, _ = located_words(data, offsets)
+    return hashes, np.searchsorted(starts, offsets, "left")
+
+
+def located_words(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SEPARATOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (A-Z lower-cased), start positions and lengths of the words of all rows. ``separator``: a flag for each of the
+    256 bytes, set for those that end a word."""
+    out, place, sizes = [], [], []
     pos, end = (int(offsets[0]), int(offsets[-1])) if len(offsets) else (0, 0)
     while pos < end:
         stop = min(end, pos + SLICE)
         if stop < end:  # end the slice behind a separator or a row, so that no word is cut
             row_end = int(offsets[np.searchsorted(offsets, stop, "right") - 1])
-            gaps = np.flatnonzero(_SEPARATOR[data[pos:stop]])
+            gaps = np.flatnonzero(separator[data[pos:stop]])
             stop = max(row_end, pos + int(gaps[-1]) + 1 if len(gaps) else 0)
             if stop <= pos:  # one word longer than a slice
                 far = int(offsets[np.searchsorted(offsets, pos, "right")])
-                gaps = np.flatnonzero(_SEPARATOR[data[pos:far]])
+                gaps = np.flatnonzero(separator[data[pos:far]])
                 stop = pos + int(gaps[0]) + 1 if len(gaps) else far
         lo, hi = np.searchsorted(offsets, [pos, stop], "left")
-        hashes, starts = _slice_words(data[pos:stop], offsets[lo:hi] - pos)
+        hashes, starts, lengths = _slice_words(data[pos:stop], offsets[lo:hi] - pos, separator)
         out.append(hashes)
         place.append(starts + pos)
+        sizes.append(lengths)
         pos = stop
-    hashes = np.concatenate(out) if out else np.empty(0, U64)
-    starts = np.concatenate(place) if place else np.empty(0, np.int64)
-    return hashes, np.searchsorted(starts, offsets, "left")
+    if not out:
+        return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(out), np.concatenate(place), np.concatenate(sizes)
 
 
 def shingle_rows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ listing the pairs of a bucket:
    distance away from the lead, the triangle inequality of the Jaccard distance rules out links to the linked ones.
 4. For a member that just misses its lead, only the differences to the lead matter: two members can link only if
    their differences share a computed number of elements, so a prefix of the rarest differences finds the partners.
-5. Members far from the lead are compared with the other unlinked members of the bucket.
+5. Members far from the lead meet the other unlinked members over the rarest elements of their whole sets.
 """
 
 from __future__ import annotations
@@ -131,21 +131,40 @@ def _over_differences(star: DataFrame, percent: int) -> DataFrame:
     With the differences to the lead (r elements gone, a elements new) a pair (x, y) links if and only if
     (100 - p) n + (100 + p) o >= 100 (r_x + r_y) + p (a_x + a_y), where o counts the common differences. For an x
     that misses the lead this needs o > (100 r_y + p a_y) / (100 + p), so x meets one of the rarest differences of y.
+
+    Copies of one text lose elements at the same places, so gone elements are common to very many of them, but say little: a
+    pair without a common new element links only if y lost more than it won, by what x is over the limit, and the
+    other way round. So gone elements lead to a pair only where that holds or common new elements are not among the rarest.
     """
     near = star.where("near or linked").select("lead", "x", "n", "r", "a", "linked", "differences")
-    open_leads = near.where("not linked").select("lead").distinct()
-    several = near.groupBy("lead").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("lead")
-    near = keep(near.join(open_leads.join(several, "lead"), "lead", "left_semi"), "near")
-
-    parts = near.select("lead", "x", "r", "a", "linked", F.explode("differences").alias("part"))
-    often = parts.groupBy("lead", "part").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    parts = keep(parts.join(often, ["lead", "part"], "left"), "parts")
-    order = Window.partitionBy("lead", "x").orderBy(F.coalesce("often", F.lit(1)), "part")
+    over = 100 * F.col("r") + percent * F.col("a") - (100 - percent) * F.col("n")
+    near = near.withColumns({"over": over, "lost": percent * (F.col("r") - F.col("a")), "full": (100 - percent) * F.col("n")})
+    open_ = F.min(F.when(~F.col("linked"), F.col("over"))).alias("least_over")
+    leads = near.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), open_, F.max("lost").alias("most_lost"))
+    leads = leads.where("members > 1 and least_over is not null").select("lead", "least_over", "most_lost")
+    near = keep(near.join(leads, "lead"), "near")
+
+    spread = near.select(*[c for c in near.columns if c != "differences"], F.posexplode("differences").alias("at", "part"))
+    spread = spread.withColumn("new", F.col("at") >= F.col("r")).drop("at", "n")
+    often = spread.groupBy("lead", "part").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    parts = keep(spread.join(often, ["lead", "part"], "left"), "parts")
+    each = Window.partitionBy("lead", "x")
     need = F.floor((100 * F.col("r") + percent * F.col("a")) / (100 + percent)) + 1
-    first = parts.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= F.col("r") + F.col("a") - need + 1)
-    first = first.where("often > 1").select("lead", "part", F.col("x").alias("y"))
-    asks = parts.where("not linked and often > 1").select("lead", "part", "x")
-    pairs = asks.join(first, ["lead", "part"]).where("x <> y").select("lead", "x", "y").distinct()
+    parts = parts.withColumn("turn", F.row_number().over(each.orderBy(F.coalesce("often", F.lit(1)), "part")))
+    parts = parts.withColumn("rare", F.col("turn") <= F.col("r") + F.col("a") - need + 1)
+    shared_new = F.col("new") & (F.coalesce("often", F.lit(1)) > 1)
+    parts = parts.withColumns({
+        "some": F.max(shared_new).over(each), "later": F.max(shared_new & ~F.col("rare")).over(each),
+    }).where("often > 1")
+    first = parts.where("rare and (new or later or lost >= least_over)")
+    asks = parts.where("not linked and (new or some or over <= most_lost)")
+    facts = ["x", "r", "a", "over", "lost", "some", "later"]
+    x, y = ([F.col(c).alias(f"{c}_{v}") for c in facts if c != "x"] for v in "xy")
+    pairs = asks.select("lead", "part", "new", "full", "x", *x).join(first.select("lead", "part", F.col("x").alias("y"), *y), ["lead", "part"])
+    # At most all gone and all new elements of the smaller side are common.
+    within = F.col("over_x") + F.col("over_y") + F.col("full") <= (100 + percent) * (F.least("r_x", "r_y") + F.least("a_x", "a_y"))
+    pairs = pairs.where("x <> y and (new or (some_x and later_y) or (lost_y >= over_x and lost_x >= over_y))").where(within)
+    pairs = pairs.select("lead", "x", "y").distinct()
 
     side = [near.select("lead", F.col("x").alias(v), "n", *[F.col(c).alias(f"{c}_{v}") for c in ("r", "a", "differences")]) for v in "xy"]
     pairs = pairs.join(side[0], ["lead", "x"]).join(side[1].drop("n"), ["lead", "y"])
@@ -158,22 +177,29 @@ def _over_differences(star: DataFrame, percent: int) -> DataFrame:
 def _far_pairs(star: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between a member far from the lead of its bucket and another member that does not link with the lead.
 
-    Pairs with a common home, a lead that both are near to, are left out: ``_over_differences`` has decided them. So
-    are pairs whose similarities to the lead differ by more than a link allows (triangle inequality).
+    Pairs with a common home, a lead that both are near to, are left out: ``_over_differences`` has decided them. The
+    others link only if one of the rarest elements of both is common: of n elements, the n - ceil(p n / 100) + 1 rarest.
     """
     around = star.where("near or linked").select("lead", F.col("x").alias("id"))
     around = around.union(around.select("lead", F.col("lead").alias("id"))).distinct()
     members = around.groupBy("lead").agg(F.count(F.lit(1)).alias("members"))
     home = around.join(members, "lead").groupBy("id").agg(F.max_by("lead", F.struct("members", -F.col("lead"))).alias("home"))
-    near_by = (F.col("n") - F.col("r")) / (F.col("n") + F.col("a"))  # similarity to the lead
-    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near", near_by.alias("at"))
-    loose = buckets.where("id <> lead").join(state, ["lead", "id"]).join(home, "id", "left")
-    loose = keep(loose.select("key", "id", "near", "home", "at"), "loose")
-    far = loose.where("not near").select("key", F.col("id").alias("x"), F.col("home").alias("x_home"), F.col("at").alias("x_at"))
-    other = loose.select("key", F.col("id").alias("y"), "near", F.col("home").alias("y_home"), F.col("at").alias("y_at"))
-    apart = F.abs(F.col("x_at") - F.col("y_at")) > (100 - percent) / 100 + 1e-9
-    pairs = far.join(other, "key").where("(x < y or (near and x <> y)) and coalesce(x_home <> y_home, true)").where(~apart)
-    pairs = keep(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "far")
+    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near")
+    loose = keep(buckets.where("id <> lead").join(state, ["lead", "id"]).select("key", "id", "near"), "loose")
+    wide = loose.where("not near").select("key").distinct()
+    loose = loose.join(wide, "key", "left_semi").groupBy("id").agg(F.min("near").alias("near"))
+    loose = keep(loose.join(home, "id", "left"), "wide")
+
+    parts = loose.join(sets, "id").select("id", "near", "home", F.size("set").alias("n"), F.explode("set").alias("part"))
+    often = parts.groupBy("part").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    parts = keep(parts.join(often, "part", "left"), "set-parts")
+    turn = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "part"))
+    rare = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    first = parts.withColumn("turn", turn).where((F.col("turn") <= rare) & F.col("often").isNotNull())
+    x, y = (first.select("part", *[F.col(c).alias(f"{c}_{v}") for c in ("id", "near", "home", "n")]) for v in "xy")
+    pairs = x.where("not near_x").join(y, "part").where("id_x < id_y or (near_y and id_x <> id_y)").where("coalesce(home_x <> home_y, true)")
+    pairs = pairs.where((100 * F.col("n_x") >= percent * F.col("n_y")) & (100 * F.col("n_y") >= percent * F.col("n_x")))
+    pairs = keep(pairs.select(F.least("id_x", "id_y").alias("x"), F.greatest("id_x", "id_y").alias("y")).distinct(), "far")
     pairs = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("x_set")), "x")
     pairs = pairs.join(sets.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")
     common = F.size(F.array_intersect("x_set", "y_set"))

@@ -55,7 +55,7 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = token_files.write_ids(docs, TOKENIZER)
-    return token_files.read_ids(files, token_files.look_up(files, files.documents.select("doc_id")), digest=True)
+    return token_files.read_ids(files, token_files.places(files), digest=True)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,10 +54,13 @@ def unescape_role(role: Column) -> Column:
 
 
 def _equal(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
-    """Join on columns in which nulls are equal; only the columns of the left side keep these names."""
+    """Join on columns in which nulls are equal; they appear once in the result."""
     other = right.select(*[F.col(n).alias(f"_{n}") for n in names], *[c for c in right.columns if c not in names])
     on = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
-    return left.join(other, on, how).drop(*[f"_{n}" for n in names])
+    joined = left.join(other, on, how)
+    if how == "full":
+        joined = joined.withColumns({n: F.coalesce(n, f"_{n}") for n in names})
+    return joined.drop(*[f"_{n}" for n in names])
 
 
 def _places(turns: DataFrame, budget: int, history: int) -> DataFrame:

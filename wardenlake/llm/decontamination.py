@@ -193,5 +193,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item, with the columns they have. Rows without doc_id stay."""
-    gone = small(keep(contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_id")).distinct(), "contaminated"))
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left_anti")
+    gone = small(keep(contaminated(docs, benchmark, **options).select("doc_id").distinct(), "contaminated"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.join(gone, F.col("row.doc_id").cast("long") == F.col("doc_id"), "left_anti").select("row.*")

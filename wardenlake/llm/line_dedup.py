@@ -17,10 +17,7 @@ from .shared import keep, small
 DEPTH, DOCUMENTS, CONSTANT = 3, 10, 0.6
 
 #: A document of which recurring lines make up more than this share of the characters is a copy, not a document with
-#: boilerplate; its lines stay.
-COPY = 0.25
-
-#: The same share where lines are cut from texts: only a text that recurs almost as a whole is left to near-duplicate removal.
+#: boilerplate; its lines stay and near-duplicate removal decides.
 WHOLE = 0.9
 
 VARIABLE = "<*>"
@@ -75,7 +72,7 @@ def templates(docs: DataFrame, depth: int = DEPTH, documents: int = DOCUMENTS, c
 
 
 def recurring_lines(
-    docs: DataFrame, depth: int = DEPTH, documents: int = DOCUMENTS, constant: float = CONSTANT, copy: float = COPY
+    docs: DataFrame, depth: int = DEPTH, documents: int = DOCUMENTS, constant: float = CONSTANT, copy: float = WHOLE
 ) -> DataFrame:
     """(doc_id, text_key, line_no, template, n_documents) of every line to drop from ``docs(doc_id, text)``.
 
@@ -95,15 +92,16 @@ def recurring_lines(
 def drop_recurring_lines(docs: DataFrame, copy: float = WHOLE, **options) -> DataFrame:
     """``docs`` with the columns it has and the recurring lines cut from the texts; no row is dropped. A column n_chars
     follows the new text. Rows without doc_id or text are unchanged."""
-    gone = recurring_lines(docs, copy=copy, **options).groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_gone")
-    joined = docs.join(small(keep(gone, "gone")), (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
-    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i))
-    joined = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
+    gone = recurring_lines(docs, copy=copy, **options).groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_key"))
+    joined = rows.join(small(keep(gone, "gone")), same, "left")
+    left = F.filter(F.split("row.text", "\n"), lambda line, i: ~F.array_contains("gone", i))
+    text = F.array_join(left, "\n")
+    changed = F.col("row").withField("text", text)
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return joined.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return joined.select(F.when(F.col("gone").isNull(), F.col("row")).otherwise(changed).alias("row")).select("row.*")
 
 
 SQL = f"""
@@ -150,7 +148,7 @@ hits as (
 ),
 copies as (
   select doc_id from (select doc_id, sum(size) as part from hits group by 1) join (select doc_id, sum(size) as whole from keyed group by 1) using (doc_id)
-  where part > {COPY} * whole
+  where part > {WHOLE} * whole
 )
 select doc_id, cast(line_no as integer) as line_no, template, n_documents from hits anti join copies using (doc_id)
 """

@@ -205,14 +205,15 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
 def drop_repeated(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the repeated runs cut out of the texts, words joined as they stood. No row is dropped."""
     runs = repeated_paragraphs(docs, least_words)
-    spans = runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("_spans"))
-    joined = docs.join(small(keep(spans.withColumnRenamed("doc_id", "_id"), "spans")), docs["doc_id"].cast("long") == F.col("_id"), "left")
+    spans = runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("spans"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    joined = rows.join(small(keep(spans, "spans")), F.col("row.doc_id").cast("long") == F.col("doc_id"), "left")
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         return pa.array([cut_words(t, s) if t is not None and s else t for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
 
-    return joined.withColumn("text", cut("text", "_spans")).select(*docs.columns)
+    return joined.select(F.col("row").withField("text", cut("row.text", "spans")).alias("row")).select("row.*")
 
 
 def cut_words(text: str, spans: list[dict]) -> str:

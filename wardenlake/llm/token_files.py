@@ -280,6 +280,14 @@ def look_up(files: TokenFiles, keys: DataFrame) -> DataFrame:
     return map_batches(asked, find, "doc_id long, shard int, offset long, length long")
 
 
+def places(files: TokenFiles) -> DataFrame:
+    """(doc_id, shard, offset, length) of every written row: over the index by its key; rows that repeat a doc_id and rows
+    without one have no key of their own and come from the committed list of the writers."""
+    first = F.col("doc_id").isNotNull() & (F.col("ordinal") == 0)
+    others = files.documents.where(~first).select("doc_id", "shard", "offset", "length")
+    return look_up(files, files.documents.where(first).select("doc_id")).unionByName(others)
+
+
 def read_ids(files: TokenFiles, places: DataFrame, digest: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of ``places(doc_id, shard, offset, length)`` from the shards.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardenlake.llm import decontamination, language_id, line_dedup, near_dedup, packing
 from wardenlake.llm.catalog import TOKENIZER
@@ -14,7 +15,8 @@ from wardenlake.llm.shared import keep, prepare, table
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with confidence stay; empty texts and texts without letters go."""
     prepare(spark)
-    return language_id.identify_documents(docs).where("accepted").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", "lang", "source")
+    return language_id.identify_documents(rows).where("accepted").select("row.*")
 
 
 def without_templates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,18 +184,26 @@ def _far_pairs(star: DataFrame, buckets: DataFrame, sets: DataFrame, percent: in
     around = around.union(around.select("lead", F.col("lead").alias("id"))).distinct()
     members = around.groupBy("lead").agg(F.count(F.lit(1)).alias("members"))
     home = around.join(members, "lead").groupBy("id").agg(F.max_by("lead", F.struct("members", -F.col("lead"))).alias("home"))
-    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near")
-    loose = keep(buckets.where("id <> lead").join(state, ["lead", "id"]).select("key", "id", "near"), "loose")
-    wide = loose.where("not near").select("key").distinct()
-    loose = loose.join(wide, "key", "left_semi").groupBy("id").agg(F.min("near").alias("near"))
+    alike = ((F.col("n") - F.col("r")) / (F.col("n") + F.col("a"))).alias("alike")  # similarity to the lead
+    state = star.where("not linked").select("lead", F.col("x").alias("id"), "near", alike, (F.col("n") - F.col("r") + F.col("a")).alias("size"))
+    loose = buckets.where("id <> lead").join(state, ["lead", "id"]).select("key", "id", "near", "alike", "size")
+    loose = keep(loose, "loose")
+    # Partners of the far members of a bucket are about as similar to its lead (triangle inequality) and of about their size.
+    wide = loose.where("not near").groupBy("key").agg(
+        F.max("alike").alias("most"), F.min("size").alias("least_size"), F.max("size").alias("most_size")
+    )
+    partner = (F.col("alike") <= F.col("most") + (100 - percent) / 100 + 1e-9) & (100 * F.col("size") >= percent * F.col("least_size"))
+    partner = partner & (percent * F.col("size") <= 100 * F.col("most_size"))
+    loose = loose.join(wide, "key").where(~F.col("near") | partner).groupBy("id").agg(F.min("near").alias("near"))
     loose = keep(loose.join(home, "id", "left"), "wide")
 
     parts = loose.join(sets, "id").select("id", "near", "home", F.size("set").alias("n"), F.explode("set").alias("part"))
     often = parts.groupBy("part").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    parts = keep(parts.join(often, "part", "left"), "set-parts")
-    turn = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "part"))
+    parts = keep(parts.join(often, "part"), "set-parts")  # an element that no other set has comes first but finds nobody
+    each = Window.partitionBy("id")
+    turn = F.col("n") - F.count(F.lit(1)).over(each) + F.row_number().over(each.orderBy("often", "part"))
     rare = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
-    first = parts.withColumn("turn", turn).where((F.col("turn") <= rare) & F.col("often").isNotNull())
+    first = parts.withColumn("turn", turn).where(F.col("turn") <= rare)
     x, y = (first.select("part", *[F.col(c).alias(f"{c}_{v}") for c in ("id", "near", "home", "n")]) for v in "xy")
     pairs = x.where("not near_x").join(y, "part").where("id_x < id_y or (near_y and id_x <> id_y)").where("coalesce(home_x <> home_y, true)")
     pairs = pairs.where((100 * F.col("n_x") >= percent * F.col("n_y")) & (100 * F.col("n_y") >= percent * F.col("n_x")))

@@ -92,11 +92,16 @@ def test_weights_equal_repeated_rows(spark, data):
     assert weighted.exceptAll(literal).isEmpty() and literal.exceptAll(weighted).isEmpty()
 
 
-def test_long_and_short_name_lists_agree(spark, data):
+def test_edges_meet_names_by_equality(spark, data):
     some = data.view("v_dns_scores").filter("ml_score <= 0.3")
-    short = details.dns_edges(data.view("v_dns"), some, limit=3)
-    long = details.dns_edges(data.view("v_dns"), some, limit=3, max_bytes=0)
-    assert short.exceptAll(long).isEmpty() and long.exceptAll(short).isEmpty() and not short.isEmpty()
+    dns = data.view("v_dns")
+    edges = details.dns_edges(dns, some, limit=3)
+    assert "Contains(" not in edges._jdf.queryExecution().optimizedPlan().toString()
+    asked = some.select("y", "m", "d", "h", F.col("dns_qry_name").alias("asked")).distinct()
+    every = dns.join(asked, ["y", "m", "d", "h"]).where(F.col("dns_qry_name").contains(F.col("asked")))
+    counts = every.groupBy("y", "m", "d", "h", "asked").agg(F.least(F.count(F.lit(1)), F.lit(3)).alias("n"))
+    found = edges.groupBy("y", "m", "d", F.col("hh").alias("h"), "asked").agg(F.count(F.lit(1)).alias("n"))
+    assert counts.exceptAll(found).isEmpty() and found.exceptAll(counts).isEmpty() and not found.isEmpty()
 
 
 def test_lookup_join_beyond_the_limit(spark):

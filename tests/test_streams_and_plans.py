@@ -46,6 +46,36 @@ def test_minute_counts_with_watermark(spark):
     assert got["2024-01-01 10:00"] == 2 and got["2024-01-01 10:01"] == 1
 
 
+def test_minute_upserts_with_watermark(spark):
+    """Update mode: a changed minute is written again, late rows go, the state forgets closed minutes."""
+    folder, out, state = work_path(spark, "ts"), work_path(spark, "minutes"), work_path(spark, "s")
+    sizes = []
+
+    def run(*times):
+        spark.createDataFrame([(t,) for t in times], "t string").select(F.to_timestamp("t").alias("event_ts")).write.mode("append").parquet(folder)
+        query = live.minute_writer(spark.readStream.schema("event_ts timestamp").parquet(folder), out, state).trigger(availableNow=True).start()
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+    run("2024-01-01 10:00:05", "2024-01-01 10:00:55", "2024-01-01 10:01:00")
+    run("2024-01-01 10:00:59")
+    run("2024-01-01 10:40:00")
+    run("2024-01-01 10:00:30", "2024-01-01 11:30:00")
+    got = {r.tdate: r.total for r in live.read_minutes(spark, out).collect()}
+    assert got == {"2024-01-01 10:00": 3, "2024-01-01 10:01": 1, "2024-01-01 10:40": 1, "2024-01-01 11:30": 1}
+    assert sizes[-1] < 4
+
+
+def test_repeated_batch_changes_nothing(spark):
+    rows, out = spark.range(5), work_path(spark, "batches")
+    folder = work_path(spark, "in")
+    rows.write.parquet(folder)
+    for _ in range(2):  # a new state: the same batch number comes again
+        stream = spark.readStream.schema("id long").parquet(folder)
+        drain(live.batch_writer(stream, lambda batch: batch.where("id > 1"), out, work_path(spark, "state")))
+    assert spark.read.parquet(out).count() == 3
+
+
 def test_empty_batch_writes_nothing(spark):
     folder, out = work_path(spark, "lines"), work_path(spark, "none")
     spark.createDataFrame([("#only a header",)], "value string").write.text(folder)

@@ -31,13 +31,13 @@ def top(spark, *names):
     return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "rank int, domain string")
 
 
-def dns(spark, frame_time="May  12 2015 11:32:45.543421000 UTC", name="abcdefg.apache.com"):
+def dns(spark, frame_time="May  12 2015 11:32:45.543421000 UTC", name="abcdefg.bronto.com"):
     schema = "frame_time string, unix_tstamp bigint, frame_len int, ip_dst string, dns_qry_name string, dns_qry_class string, dns_qry_type int, dns_qry_rcode int"
     return spark.createDataFrame([(frame_time, 1, 213, "1.2.3.4", name, "0x00000001", 1, 0)], schema)
 
 
 def test_dns_word(spark):
-    assert corpus.with_dns_word(dns(spark), top(spark, "google.com"), "apache").first().word == "2_7_11_2_10_1_1_0"
+    assert corpus.with_dns_word(dns(spark), top(spark, "google.com"), "bronto").first().word == "2_7_11_2_10_1_1_0"
 
 
 @pytest.mark.parametrize("frame_time, name", [("May 12", "a.com"), ("May  12 2015 xx:32:45 UTC", "a.com"), ("May  12 2015 11:32:45 UTC", None)])
@@ -97,14 +97,14 @@ def test_domain_info(spark):
 def test_proxy_words(spark):
     schema = "host string, p_time string, reqmethod string, fulluri string, resconttype string, useragent string, respcode string"
     rows = [
-        ("intel.com", "00:09:13", "PUT", "ab", "text/plain", "Mozilla/5.0", "202"),
+        ("inner.com", "00:09:13", "PUT", "ab", "text/plain", "Mozilla/5.0", "202"),
         ("maw.bronto.com", "01:09:13", "PUT", "ab", "text/plain", "Safari/537.36", "202"),
         ("maw.bronto.com", "10:09:13", "PUT", "abcdefg", "/", "Safari/537.36", None),
         ("maw.bronto.com", "xx", "PUT", "ab", "text/plain", "Safari/537.36", "202"),
     ]
     df = spark.createDataFrame(rows, schema)
     counts = spark.createDataFrame([("Mozilla/5.0", 1), ("Safari/537.36", 9)], "useragent string, agent_count bigint")
-    got = [r.word for r in corpus.with_proxy_word(df, top(spark, "bronto.com"), counts).orderBy("host", "p_time").collect()]
+    got = [r.word for r in corpus.with_proxy_word(df, top(spark, "bronto.com"), counts, ("inner",)).orderBy("host", "p_time").collect()]
     assert got == ["2_0_PUT_4_text_0_1_202", "1_1_PUT_4_text_3_1_202", "1_10_PUT_10_unknown_content_type_3_2_unknown_response_code", "word_error"]
 
 

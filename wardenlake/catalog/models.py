@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import classify, corpus, detectors, indexing, records, summaries, topics
-from ..operators.detectors import autoencoder, density, forest, oneclass
+from ..operators.detectors import autoencoder, density, forest, oneclass, stored
 from ..operators.ranges import distinct_addresses
+from ..plans import detector_runs, suspicious
 from ..plans import netflow_features as nf
-from ..plans import suspicious
-from ..session import spread_and_cut, work_path
+from ..session import cut_lineage, spread_and_cut, work_path
 from ..sources import feedback, files, sinks
 from .enrichment import anchors
-from .features import _CONS, autoencoder_steps, detector_features
+from .features import _CONS, _PREP, autoencoder_steps, detector_features
 from .registry import query
-from .words import flow_word_sql
+from .words import dns_word_sql, flow_word_sql, proxy_word_sql
 
 SMALL = suspicious.Settings(topics=5, max_iter=5, seed=1)
 
+_ENDS_SQL = f", {_CONS}, {_PREP} select " + ", ".join(
+    f"round(cast({f}({c}) as double), 6) as {f}_{c}" for c in nf.SCALED for f in ("min", "max")
+) + " from prep"
+
 _ONE_PER_CONS = f", {_CONS} select count(*) as rows from cons"
 
 
@@ -79,25 +84,64 @@ def _(d):
     return suspicious.proxy_suspicious_connects(d.view("v_proxy"), d.view("v_top_domains"), s, judged).suspicious
 
 
-@query("jn1_fn29_scored_flow", ["v_flow"], "select treceived, sip, dip, sport, dport, true as is_probability from v_flow")
+def word_shares(pairs):
+    """A model with a single topic, known in closed form: a word has its share of the corpus (doc, word, count)."""
+    pairs = cut_lineage(pairs)
+    total = float(pairs.agg(F.sum("count")).first()[0] or 1)
+    words = pairs.groupBy("word").agg(F.array(F.sum("count") / F.lit(total)).alias("probs"))
+    return topics.TopicModel(1, pairs.select("doc", F.array(F.lit(1.0)).alias("mix")).distinct(), words)
+
+
+def flow_shares(d):
+    return word_shares(corpus.flow_corpus(d.view("v_flow")))
+
+
+def dns_shares(d):
+    return word_shares(corpus.client_corpus(corpus.with_dns_word(d.view("v_dns"), d.view("v_top_domains"), "corpnet"), "ip_dst"))
+
+
+def proxy_shares(d):
+    rows = d.view("v_proxy")
+    words = corpus.with_proxy_word(rows, d.view("v_top_domains"), cut_lineage(corpus.agent_counts(rows)), ("corpnet",))
+    return word_shares(corpus.client_corpus(words, "clientip"))
+
+
+OWN = suspicious.Settings(own_domain="corpnet", safe_domains=("corpnet",))
+
+FLOW_SHARE_SQL = flow_word_sql("v_flow").strip() + """
+, t as (select src_word as word from fw union all select dst_word from fw),
+sh as (select word, cast(count(*) as double) / cast((select count(*) from t) as double) as p from t group by word)
+select treceived, sip, dip, sport, dport, round(least(a.p, b.p), 12) as score
+from fw join sh a on a.word = src_word join sh b on b.word = dst_word"""
+
+
+def _client_share_sql(words: str, table: str, columns: str) -> str:
+    return words + f"""
+, sh as (select word, cast(count(*) as double) / cast((select count(*) from {table}) as double) as p from {table} group by word)
+select {columns}, round(p, 12) as score from {table} join sh using (word)"""
+
+
+DNS_COLUMNS, PROXY_COLUMNS = "unix_tstamp, ip_dst, dns_qry_name", "p_date, p_time, clientip, fulluri"
+DNS_SHARE_SQL = _client_share_sql(dns_word_sql("v_dns"), "dw", DNS_COLUMNS)
+PROXY_SHARE_SQL = _client_share_sql(proxy_word_sql("v_proxy"), "pw", PROXY_COLUMNS)
+
+
+@query("jn1_fn29_scored_flow", ["v_flow"], FLOW_SHARE_SQL)
 def _(d):
-    flow = d.view("v_flow")
-    scored = suspicious.score_flow(flow, suspicious.train_flow(flow, SMALL))
-    return scored.select("treceived", "sip", "dip", "sport", "dport", F.col("score").between(0, 1).alias("is_probability"))
+    scored = suspicious.score_flow(d.view("v_flow"), flow_shares(d))
+    return scored.select("treceived", "sip", "dip", "sport", "dport", F.round("score", 12).alias("score"))
 
 
-@query("jn2_jn4_scored_dns", ["v_dns"], "select unix_tstamp, ip_dst, dns_qry_name, true as is_probability from v_dns")
+@query("jn2_jn4_scored_dns", ["v_dns", "v_top_domains"], DNS_SHARE_SQL)
 def _(d):
-    dns, top = d.view("v_dns"), d.view("v_top_domains")
-    scored = suspicious.score_dns(dns, top, suspicious.train_dns(dns, top, SMALL), SMALL)
-    return scored.select("unix_tstamp", "ip_dst", "dns_qry_name", F.col("score").between(0, 1).alias("is_probability"))
+    scored = suspicious.score_dns(d.view("v_dns"), d.view("v_top_domains"), dns_shares(d), OWN)
+    return scored.select(*DNS_COLUMNS.split(", "), F.round("score", 12).alias("score"))
 
 
-@query("jn3_scored_proxy", ["v_proxy"], "select p_date, p_time, clientip, fulluri, true as is_probability from v_proxy")
+@query("jn3_scored_proxy", ["v_proxy", "v_top_domains"], PROXY_SHARE_SQL)
 def _(d):
-    rows, top = d.view("v_proxy"), d.view("v_top_domains")
-    scored = suspicious.score_proxy(rows, top, suspicious.train_proxy(rows, top, SMALL), SMALL)
-    return scored.select("p_date", "p_time", "clientip", "fulluri", F.col("score").between(0, 1).alias("is_probability"))
+    scored = suspicious.score_proxy(d.view("v_proxy"), d.view("v_top_domains"), proxy_shares(d), OWN)
+    return scored.select(*PROXY_COLUMNS.split(", "), F.round("score", 12).alias("score"))
 
 
 @query("fn28_topic_score", ["v_flow"], flow_word_sql("v_flow").strip() + """
@@ -124,16 +168,14 @@ def _features(d):
 
 @query("ml10_isolation_forest")
 def _(d):
-    rows = _features(d)
-    model = forest.fit_forest(rows, trees=100, contamination=0.05)
-    return model.predict(rows).select(*nf.KEYS, F.round("score", 9).alias("score"), "pred")
+    _model, scored = forest.fit_predict_forest(_features(d), trees=100, contamination=0.05)
+    return scored.select(*nf.KEYS, F.round("score", 9).alias("score"), "pred")
 
 
 @query("ml9_one_class_svm")
 def _(d):
-    rows = _features(d)
-    model = oneclass.fit_one_class(rows, nu=0.05, steps=15)
-    return model.predict(rows).select(*nf.KEYS, F.round("score", 9).alias("score"), "pred")
+    _model, scored = oneclass.fit_predict_one_class(_features(d), nu=0.05)
+    return scored.select(*nf.KEYS, F.round("score", 9).alias("score"), "pred")
 
 
 @query("ml11_local_outlier_factor")
@@ -145,7 +187,7 @@ def _(d):
 @query("flt15_topk2_jn7_outliers")
 def _(d):
     rows = _features(d)
-    scored = forest.fit_forest(rows, trees=50, contamination=0.02).predict(rows).select(*nf.KEYS, "score", "pred")
+    scored = forest.fit_predict_forest(rows, contamination=0.02)[1].select(*nf.KEYS, "score", "pred")
     kept = detectors.with_original_columns(scored, rows.select(*nf.KEYS, *nf.SUMS), nf.KEYS)
     return detectors.outliers(kept).drop("flag", "pred")
 
@@ -153,7 +195,7 @@ def _(d):
 @query("snk5_outlier_file")
 def _(d):
     rows = _features(d)
-    found = detectors.outliers(forest.fit_forest(rows, trees=50, contamination=0.02).predict(rows)).select(*nf.KEYS, "score")
+    found = detectors.outliers(forest.fit_predict_forest(rows, contamination=0.02)[1]).select(*nf.KEYS, "score")
     path = work_path(d.spark, "outliers")
     sinks.write_results(found, path)
     types = "treceived string, tryear int, trmonth int, trday int, trhour int, trminute int, trsec int, sip string, dip string, sport int, dport int, proto string, flag string, score double"
@@ -164,15 +206,66 @@ def _(d):
 def _(d):
     flow = d.view("v_flow")
     rows = spread_and_cut(autoencoder_steps(flow).fit(flow).transform(flow).select("treceived", "sip", "dip", "sport", "dport", "proto", "ipkt", "ibyt", "features"))
-    model = autoencoder.fit_autoencoder(rows, epochs=3)
-    return model.outliers(rows).drop("features")
+    return autoencoder.fit_outliers(rows)[1].drop("features")
 
 
-@query("ml14_saved_model", ["v_dns"], "select distinct ip_dst as doc from v_dns")
+@query("ml14_saved_model", ["v_dns", "v_top_domains"], dns_word_sql("v_dns") + """
+select ip_dst as doc, word, round(cast(count(*) over (partition by word) as double) / cast(count(*) over () as double), 12) as score
+from dw qualify row_number() over (partition by ip_dst, word) = 1""")
 def _(d):
     path = work_path(d.spark, "topics")
-    suspicious.train_dns(d.view("v_dns"), d.view("v_top_domains"), SMALL).save(path)
-    return topics.TopicModel.load(d.spark, path).doc_topics.select("doc")
+    dns_shares(d).save(path)
+    words = corpus.with_dns_word(d.view("v_dns"), d.view("v_top_domains"), "corpnet")
+    scored = topics.score_pairs(words.select(F.col("ip_dst").alias("doc"), "word").distinct(), topics.TopicModel.load(d.spark, path))
+    return scored.select("doc", "word", F.round("score", 12).alias("score"))
+
+
+def _stored(d, detector, name):
+    """Train on the flows of one half, store, load and score the other half."""
+    flow = d.view("v_flow")
+    train, other = records.hash_split(flow, ["treceived", "sip", "dip", "sport", "dport"], 50)
+    path = work_path(d.spark, name)
+    detector_runs.train(train, detector).write().overwrite().save(path)
+    return detector_runs.score(PipelineModel.load(path), other)
+
+
+def _report(scored):
+    return detector_runs.outlier_report(scored).withColumn("score", F.round("score", 9))
+
+
+@query("ml14_stored_forest")
+def _(d):
+    return _report(_stored(d, stored.IsolationForest(contamination=0.02), "stored-forest"))
+
+
+@query("ml14_stored_one_class")
+def _(d):
+    return _report(_stored(d, stored.OneClassSvm(contamination=0.02), "stored-one-class"))
+
+
+@query("ml14_stored_local_outlier")
+def _(d):
+    return _report(_stored(d, stored.LocalOutlierFactor(contamination=0.02), "stored-local-outlier"))
+
+
+@query("snk9_stored_ranges", ["v_flow"], _ENDS_SQL)
+def _(d):
+    path = work_path(d.spark, "stored-ranges")
+    detector_runs.RangeFeatures().fit(d.view("v_flow")).write().overwrite().save(path)
+    ends = d.spark.read.parquet(f"{path}/ends")
+    return ends.select(*[F.round(c, 6).alias(c) for c in ends.columns])
+
+
+@query("ml14_stored_autoencoder")
+def _(d):
+    flow = d.view("v_flow")
+    train, other = records.hash_split(flow, ["treceived", "sip", "dip", "sport", "dport"], 50)
+    steps = autoencoder_steps(train)
+    pipeline = Pipeline(stages=[*steps.getStages(), detector_runs.Spread(), stored.Autoencoder(contamination=0.02)])
+    path = work_path(d.spark, "stored-autoencoder")
+    pipeline.fit(train).write().overwrite().save(path)
+    scored = PipelineModel.load(path).transform(other).where("pred = -1")
+    return scored.select("treceived", "sip", "dip", "sport", "dport", "proto", F.round("score", 9).alias("score"))
 
 
 @query("set7_hash_split")
@@ -222,8 +315,6 @@ def _(d):
     model = classify.forest_pipeline(train).fit(train)
     path = work_path(d.spark, "rf")
     model.save(path)
-    from pyspark.ml import PipelineModel
-
     results = classify.classify_flows(PipelineModel.load(path), _scored_flows(d), date(2024, 1, 31))
     out = work_path(d.spark, "results")
     sinks.write_results(results, out, header=True)

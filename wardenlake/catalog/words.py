@@ -36,7 +36,7 @@ def domain_sql(src: str, name: str) -> str:
     """Chain of table expressions that ends in ``parts`` (domain, subdomain, n labels, in_top)."""
     return f""",
 p1 as (select *, string_split(rtrim({name}, '.'), '.') as l from {src}),
-p2 as (select *, len(l) as n, regexp_full_match(l[-1], '[a-z][a-z]|krd') as cc from p1),
+p2 as (select *, len(l) as n, regexp_full_match(l[-1], '[a-z][a-z]|krd') and not regexp_full_match(l[-1], 'aa|q[m-z]|x[a-z]|zz') as cc from p1),
 p3 as (select *, case when cc then l[1:n - 1] else l end as l1,
  n >= 2 and not (n > 2 and l[-1] = 'arpa' and l[-2] = 'in-addr') and (cc or l[-1] in {_TLDS}) as known from p2),
 p4 as (select *, case when len(l1) > 0 and l1[-1] in {_TLDS} then l1[1:len(l1) - 1] else l1 end as l2 from p3),
@@ -77,7 +77,7 @@ dw as (select *, concat_ws('_', top_domain, {log2_sql('frame_len')}, cast(split_
 def proxy_word_sql(src: str = "v_proxy") -> str:
     return domain_sql(src, "host") + f""",
 ac as (select useragent, count(*) as agent_count from {src} group by useragent),
-pw as (select p.*, concat_ws('_', case when domain = 'intel' then 2 when in_top then 1 else 0 end, cast(split_part(p_time, ':', 1) as int), reqmethod,
+pw as (select p.*, concat_ws('_', case when domain = 'corpnet' then 2 when in_top then 1 else 0 end, cast(split_part(p_time, ':', 1) as int), reqmethod,
  {bin_sql(entropy_sql('fulluri'))}, split_part(resconttype, '/', 1), {log2_sql('agent_count')}, {log2_sql('length(fulluri)')},
  coalesce(respcode, 'unknown_response_code')) as word from parts p join ac using (useragent))
 """
@@ -139,7 +139,7 @@ def _(d):
 
 @query("fn9_host_class", ["v_proxy", "v_top_domains"], "WITHOUT")
 def _(d):
-    return corpus.with_host_class(d.view("v_proxy").select("host", "fulluri"), d.view("v_top_domains"), ("intel",)).select("host", "fulluri", "host_class")
+    return corpus.with_host_class(d.view("v_proxy").select("host", "fulluri"), d.view("v_top_domains"), ("corpnet",)).select("host", "fulluri", "host_class")
 
 
 @query("fn10_flow_words", ["v_flow"], "WITHOUT")
@@ -294,7 +294,7 @@ _CHAINED = {
     "fn7_host_domains": domain_sql("v_proxy", "host") + "select host, domain, subdomain from parts",
     "fn8_domain_info": domain_sql("v_dns", "dns_qry_name") + "," + _INFO
     + "select dns_qry_name, domain, top_domain, subdomain, cast(subdomain_length as int) as subdomain_length, round(subdomain_entropy, 9) as subdomain_entropy, cast(n as int) as num_periods from info",
-    "fn9_host_class": domain_sql("v_proxy", "host") + "select host, fulluri, case when domain = 'intel' then 2 when in_top then 1 else 0 end as host_class from parts",
+    "fn9_host_class": domain_sql("v_proxy", "host") + "select host, fulluri, case when domain = 'corpnet' then 2 when in_top then 1 else 0 end as host_class from parts",
     "fn10_flow_words": flow_word_sql("v_flow") + "select treceived, sip, dip, src_word, dst_word from fw",
     "fn11_dns_words": dns_word_sql() + "select unix_tstamp, ip_dst, dns_qry_name, word from dw",
     "fn12_proxy_words": proxy_word_sql() + "select p_date, p_time, clientip, fulluri, word from pw",

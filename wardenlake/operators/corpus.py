@@ -62,7 +62,7 @@ def agent_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("useragent").agg(F.sum(weight).alias("agent_count"))
 
 
-def with_host_class(df: DataFrame, top_domains: DataFrame, safe_domains=("intel",), name: str = "host") -> DataFrame:
+def with_host_class(df: DataFrame, top_domains: DataFrame, safe_domains=(), name: str = "host") -> DataFrame:
     """2 for a domain of the safe list, 1 for a top domain, 0 for any other."""
     df = with_top_flag(df, name, top_domains)
     cls = (
@@ -73,7 +73,7 @@ def with_host_class(df: DataFrame, top_domains: DataFrame, safe_domains=("intel"
     return df.withColumn("host_class", F.when(F.col(name).isNotNull(), cls)).drop("parts", "in_top")
 
 
-def with_proxy_word(df: DataFrame, top_domains: DataFrame, counts: DataFrame, safe_domains=("intel",)) -> DataFrame:
+def with_proxy_word(df: DataFrame, top_domains: DataFrame, counts: DataFrame, safe_domains=()) -> DataFrame:
     df = with_host_class(df, top_domains, safe_domains)
     df = lookup_join(df, counts.select("useragent", "agent_count"), "useragent")
     return df.withColumn("word", proxy_word(F.col("host_class"), F.col("agent_count"))).drop("host_class", "agent_count")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import BROADCAST_BYTES, is_small, lookup_join
+from ..session import cut_lineage
+from .joins import is_small, lookup_join
 from .records import first_per_key
 
 DETAIL_LIMIT = 250
@@ -100,16 +101,13 @@ def pair_totals(flow: DataFrame) -> DataFrame:
     )
 
 
-def _names_with(dns: DataFrame, asked: DataFrame, max_bytes: int) -> DataFrame:
+def _names_with(names: DataFrame, asked: DataFrame) -> DataFrame:
     """(day, hour, name, asked name) where the name contains the asked name.
 
-    A short list of asked names is broadcast. A long one is met by equality:
-    each distinct name gives its substrings of the lengths that are asked for.
+    They meet by equality: each distinct name of an hour with asked names gives its substrings of the lengths that are asked for.
     """
     when = ["y", "m", "d", "h"]
-    names = dns.select(*when, "dns_qry_name").distinct()
-    if is_small(asked, max_bytes):
-        return names.join(F.broadcast(asked), when).filter(F.col("dns_qry_name").contains(F.col("asked")))
+    names = names.join(asked.select(*when).distinct(), when, "left_semi")
     # At most 253 lengths exist for legal names, so this list is short.
     lengths = sorted(r[0] for r in asked.select(F.length("asked")).distinct().collect())
     pieces = F.flatten(
@@ -128,16 +126,21 @@ def _names_with(dns: DataFrame, asked: DataFrame, max_bytes: int) -> DataFrame:
     return cut.join(asked, [*when, "asked"])
 
 
-def dns_edges(
-    dns: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LIMIT, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def dns_edges(dns: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
     """Raw DNS replies whose name contains a suspicious name, in the same hour; the
-    first ``limit`` per suspicious name and hour."""
-    asked = suspicious.select("y", "m", "d", "h", F.col("dns_qry_name").alias("asked")).distinct()
-    matches = _names_with(dns, asked, max_bytes)
-    rows = dns.join(matches, ["y", "m", "d", "h", "dns_qry_name"])
+    first ``limit`` per suspicious name and hour.
+
+    Of every name of an hour only the first ``limit`` replies can be among them, so the others go before the replies meet
+    the suspicious names.
+    """
+    asked = cut_lineage(suspicious.select("y", "m", "d", "h", F.col("dns_qry_name").alias("asked")).distinct())
+    when = ["y", "m", "d", "h"]
+    matches = cut_lineage(_names_with(dns.select(*when, "dns_qry_name").distinct(), asked))
     order = [F.col(c) for c in (
         "unix_tstamp", "ip_dst", "dns_qry_name", "frame_len", "dns_qry_type", "dns_qry_rcode", "dns_qry_class", "dns_a", "ip_src")]
+    name = [*when, "dns_qry_name"]
+    rows = first_per_key(lookup_join(dns, matches.select(*name).distinct(), name, "left_semi"), name, order, limit)
+    rows = rows.join(matches, name)
     top = first_per_key(rows, ["y", "m", "d", "h", "asked"], order, limit)
     return top.select(
         "asked", "unix_tstamp", "frame_len", "ip_dst", "ip_src", "dns_qry_name", "dns_qry_class", "dns_qry_type",

@@ -44,7 +44,11 @@ def min_max(rows: DataFrame) -> DataFrame:
 
 def scale(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """Add the scaled features. ``ends`` is the one-row table of ``min_max``."""
-    row = ends.first().asDict()
+    return scale_by(rows, ends.first().asDict())
+
+
+def scale_by(rows: DataFrame, row: dict) -> DataFrame:
+    """Add the scaled features by known ends."""
     return rows.withColumns({
         SCALED_NAMES[c]: ff.min_max_scaled(
             F.col(c).cast("double"), F.lit(float(row[f"min_{c}"])), F.lit(float(row[f"max_{c}"]))

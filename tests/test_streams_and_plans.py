@@ -134,3 +134,25 @@ def test_filters_reach_the_scan(spark):
 def test_partition_pruning(spark):
     text = plan_of(catalog.queries()["src2_partition_pruning"](spark, SF))
     assert "PartitionFilters: [isnotnull(y" in text
+
+
+def test_daily_job_can_be_repeated(spark, data):
+    """Twice, after a cut in the middle and with what analysts added: the same tables."""
+    from datetime import date
+
+    from wardenlake.plans import daily, day_run
+
+    root, day = work_path(spark, "oa"), date(2024, 1, 5)
+    dns, scores = data.view("v_dns"), data.view("v_dns_scores")
+
+    def tables():
+        read = lambda name: sorted(map(str, spark.read.parquet(f"{root}/{name}").collect()))
+        return {name: read(name) for name in day_run.run("dns", dns, scores, daily.Lookups(), root, day, 50, whole=True)}
+
+    first = tables()
+    spark.range(3).write.parquet(day_run.day_path(root, "dns_storyboard", day))
+    other = day_run.day_path(root, "dns_storyboard", date(2024, 1, 6))
+    spark.range(3).write.parquet(other)
+    spark.range(3).write.mode("overwrite").parquet(day_run.day_path(root, "dns_edge", day))  # a run that was cut off
+    assert tables() == first and first["dns_scores"] and first["dns_edge"]
+    assert spark.read.parquet(other).count() == 3 and spark.read.parquet(f"{root}/dns_storyboard").select("d").distinct().count() == 1

@@ -64,8 +64,8 @@ def _(d):
 select cast(quantile_disc(ibyt, 0.95) as double) as q95, cast(quantile_disc(ibyt, 0.5) as double) as q50, cast(quantile_disc(ml_score, 0.05) as double) as q05 from v_flow""")
 def _(d):
     flow = d.view("v_flow")
-    found = (quantiles.exact_quantile(flow, "ibyt", 0.95), quantiles.exact_quantile(flow, "ibyt", 0.5), quantiles.exact_quantile(flow, "ml_score", 0.05))
-    return d.spark.createDataFrame([found], "q95 double, q50 double, q05 double")
+    found = quantiles.exact_quantiles(flow, [("ibyt", 0.95), ("ibyt", 0.5), ("ml_score", 0.05)])
+    return d.spark.createDataFrame([tuple(found)], "q95 double, q50 double, q05 double")
 
 
 @query("agg9_percentile", ["v_flow"], """
@@ -73,7 +73,7 @@ select (select cast(ibyt as double) from v_flow order by ibyt limit 1 offset (se
  (select cast(ibyt as double) from v_flow order by ibyt limit 1 offset (select cast(ceil(count(*) / 100.0e0 * 50 - 1) as bigint) from v_flow)) as p50""")
 def _(d):
     flow = d.view("v_flow")
-    found = (quantiles.percentile_threshold(flow, "ibyt", 99), quantiles.percentile_threshold(flow, "ibyt", 50))
+    found = tuple(quantiles.exact_quantiles(flow, [("ibyt", 0.99), ("ibyt", 0.5)]))
     return d.spark.createDataFrame([found], "p99 double, p50 double")
 
 

@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..operators import corpus, details, enrich, summaries
-from ..plans import daily, investigate, storyboard
+from ..plans import daily, day_run, investigate, storyboard
+from ..session import work_path
 from .aggregates import _TOP_SQL, _internal_scores, _tops, first_uri
 from .enrichment import CONTEXT_SQL, GEO_SQL, REP_SQL, TLD_SQL, anchors, feeds, ip_num_sql
 from .registry import query
@@ -310,6 +311,15 @@ def _(d):
     return daily.flow_scores(d.view("v_flow_scores"), _lookups(d), _OA_LIMIT)
 
 
+@query("oa1_written_flow_scores", _OA_VIEWS, _OA_FLOW_SQL.replace("select b.*,", "select b.* exclude (y, m, d),"))
+def _(d):
+    """The daily job, run twice over all flows as those of one day, and its scores read back."""
+    root, day = work_path(d.spark, "oa"), date(2024, 1, 31)
+    for _turn in range(2):
+        day_run.run("flow", d.view("v_flow"), d.view("v_flow_scores"), _lookups(d), root, day, _OA_LIMIT, whole=True)
+    return d.spark.read.parquet(f"{root}/flow_scores").drop("y", "m", "d")
+
+
 @query("oa1_flow_chords")
 def _(d):
     return daily.flow_day(d.view("v_flow"), d.view("v_flow_scores"), _lookups(d), _OA_LIMIT)["flow_chords"]

@@ -130,41 +130,41 @@ def _over_differences(star: DataFrame, percent: int) -> DataFrame:
 
     With the differences to the lead (r elements gone, a elements new) a pair (x, y) links if and only if
     (100 - p) n + (100 + p) o >= 100 (r_x + r_y) + p (a_x + a_y), where o counts the common differences. For an x
-    that misses the lead this needs o > (100 r_y + p a_y) / (100 + p), so x meets one of the rarest differences of y.
+    that misses the lead this sets a least o, so x meets one of the rarest differences of y.
 
-    Copies of one text lose elements at the same places, so gone elements are common to very many of them, but say little: a
-    pair without a common new element links only if y lost more than it won, by what x is over the limit, and the
-    other way round. So gone elements lead to a pair only where that holds or common new elements are not among the rarest.
+    Copies of one text lose elements at the same places, so gone elements are common to very many of them. But from the first
+    common element in the order of rarity on, at most the gone elements and the new elements that are still left in both can be
+    common as well; where those are too few, the element leads to no pair.
     """
     near = star.where("near or linked").select("lead", "x", "n", "r", "a", "linked", "differences")
-    over = 100 * F.col("r") + percent * F.col("a") - (100 - percent) * F.col("n")
-    near = near.withColumns({"over": over, "lost": percent * (F.col("r") - F.col("a")), "full": (100 - percent) * F.col("n")})
-    open_ = F.min(F.when(~F.col("linked"), F.col("over"))).alias("least_over")
-    leads = near.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), open_, F.max("lost").alias("most_lost"))
-    leads = leads.where("members > 1 and least_over is not null").select("lead", "least_over", "most_lost")
+    cost = 100 * F.col("r") + percent * F.col("a")
+    near = near.withColumns({"cost": cost, "full": (100 - percent) * F.col("n")})
+    over = F.min(F.when(~F.col("linked"), F.col("cost") - F.col("full"))).alias("least_over")
+    leads = near.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), over, F.min("cost").alias("least_cost"))
+    leads = leads.where("members > 1 and least_over is not null").select("lead", "least_over", "least_cost")
     near = keep(near.join(leads, "lead"), "near")
 
     spread = near.select(*[c for c in near.columns if c != "differences"], F.posexplode("differences").alias("at", "part"))
     spread = spread.withColumn("new", F.col("at") >= F.col("r")).drop("at", "n")
     often = spread.groupBy("lead", "part").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    parts = keep(spread.join(often, ["lead", "part"], "left"), "parts")
-    each = Window.partitionBy("lead", "x")
-    need = F.floor((100 * F.col("r") + percent * F.col("a")) / (100 + percent)) + 1
-    parts = parts.withColumn("turn", F.row_number().over(each.orderBy(F.coalesce("often", F.lit(1)), "part")))
-    parts = parts.withColumn("rare", F.col("turn") <= F.col("r") + F.col("a") - need + 1)
-    shared_new = F.col("new") & (F.coalesce("often", F.lit(1)) > 1)
+    parts = keep(spread.join(often, ["lead", "part"]), "parts")  # an element of one member alone comes first but finds nobody
+    each, order = Window.partitionBy("lead", "x"), Window.partitionBy("lead", "x").orderBy("often", "part")
+    left = order.rowsBetween(1, Window.unboundedFollowing)
+    size = F.col("r") + F.col("a")
     parts = parts.withColumns({
-        "some": F.max(shared_new).over(each), "later": F.max(shared_new & ~F.col("rare")).over(each),
-    }).where("often > 1")
-    first = parts.where("rare and (new or later or lost >= least_over)")
-    asks = parts.where("not linked and (new or some or over <= most_lost)")
-    facts = ["x", "r", "a", "over", "lost", "some", "later"]
-    x, y = ([F.col(c).alias(f"{c}_{v}") for c in facts if c != "x"] for v in "xy")
-    pairs = asks.select("lead", "part", "new", "full", "x", *x).join(first.select("lead", "part", F.col("x").alias("y"), *y), ["lead", "part"])
-    # At most all gone and all new elements of the smaller side are common.
-    within = F.col("over_x") + F.col("over_y") + F.col("full") <= (100 + percent) * (F.least("r_x", "r_y") + F.least("a_x", "a_y"))
-    pairs = pairs.where("x <> y and (new or (some_x and later_y) or (lost_y >= over_x and lost_x >= over_y))").where(within)
-    pairs = pairs.select("lead", "x", "y").distinct()
+        "turn": size - F.count(F.lit(1)).over(each) + F.row_number().over(order),
+        "new_left": F.coalesce(F.sum(F.col("new").cast("int")).over(left), F.lit(0)),
+        "gone_left": F.coalesce(F.sum((~F.col("new")).cast("int")).over(left), F.lit(0)),
+    })
+    least_y = F.ceil((F.col("cost") + F.col("least_over")) / (100 + percent))
+    least_x = F.ceil((F.col("cost") - F.col("full") + F.col("least_cost")) / (100 + percent))
+    first = parts.where(F.col("turn") <= size - least_y + 1)
+    asks = parts.where(~F.col("linked") & (F.col("turn") <= size - least_x + 1))
+    x, y = ([F.col(c).alias(f"{c}_{v}") for c in ("cost", "new_left", "gone_left")] for v in "xy")
+    pairs = asks.select("lead", "part", "full", "x", *x).join(first.select("lead", "part", F.col("x").alias("y"), *y), ["lead", "part"])
+    most = 1 + F.least("gone_left_x", "gone_left_y") + F.least("new_left_x", "new_left_y")
+    enough = F.col("cost_x") + F.col("cost_y") - F.col("full") <= (100 + percent) * most
+    pairs = pairs.where((F.col("x") != F.col("y")) & enough).select("lead", "x", "y").distinct()
 
     side = [near.select("lead", F.col("x").alias(v), "n", *[F.col(c).alias(f"{c}_{v}") for c in ("r", "a", "differences")]) for v in "xy"]
     pairs = pairs.join(side[0], ["lead", "x"]).join(side[1].drop("n"), ["lead", "y"])

@@ -106,6 +106,11 @@ def _(d):
     return d.view("v_flow").withColumnRenamed("ml_score", "score").select(*schemas.FLOW_OUT)
 
 
+@query("flt9_dns_out_columns", ["v_dns"], f"select {_DNS_COLS}, ml_score as score from v_dns")
+def _(d):
+    return d.view("v_dns").withColumnRenamed("ml_score", "score").select(*schemas.DNS_OUT)
+
+
 @query("flt10_flow_dialect", ["v_flow"], """
 select treceived, tryear, trmonth, trday, trhour, trminute, trsec, cast(tdur as float) as tdur, sip, dip, sport, dport, proto, flag,
  cast(ipkt as float) as ipkt, cast(ibyt as float) as ibyt, cast(0 as float) as opkt, cast(0 as float) as obyt from v_flow""")

@@ -335,3 +335,21 @@ def _(d):
     rows = classify.scaled_column(d.view("v_flow").withColumn("both", F.concat_ws(";", "ipkt", "opkt")), "ibyt", 1000)
     rows = classify.array_column(rows, "both")
     return rows.select("sip", "treceived", F.round("ibyt", 9).alias("ibyt"), (F.get("both", F.lit(0)) + F.get("both", F.lit(1))).alias("total"))
+
+
+@query("ml20_normalised_column", ["v_flow"], """
+select sip, treceived, round((ibyt - (select avg(ibyt) from v_flow)) / (select stddev(ibyt) from v_flow), 9) as ibyt from v_flow""")
+def _(d):
+    flow = d.view("v_flow")
+    mean, deviation = flow.agg(F.avg("ibyt"), F.stddev("ibyt")).first()
+    return classify.normalised_column(flow, "ibyt", mean, deviation).select("sip", "treceived", F.round("ibyt", 9).alias("ibyt"))
+
+
+@query("snk8_threat_file")
+def _(d):
+    """Threats alone, as a tab-separated file without a header."""
+    train = _split(d)[0]
+    found = classify.threats(classify.classify_flows(classify.forest_pipeline(train).fit(train), _scored_flows(d), date(2024, 1, 31)))
+    path = work_path(d.spark, "threats")
+    sinks.write_results(found, path)
+    return d.spark.read.csv(path, sep="\t", schema=", ".join(f"`{c}` string" for c in classify.RESULT))

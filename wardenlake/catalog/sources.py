@@ -66,6 +66,25 @@ def _(d):
     return present.unionByName(feedback.read_feedback(d.spark, path + "-absent", schemas.FLOW_FEEDBACK))
 
 
+def _feedback_file(d, view, schema, name):
+    """Write the columns of a feedback file that a view has, read the file back."""
+    rows, path = d.view(view), work_path(d.spark, name)
+    fields = [c.split() for c in schema.split(", ")]
+    have = [F.col(c).cast(kind).alias(c) if c in rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in fields]
+    sinks.write_results(rows.select(*have), path, header=True)
+    return feedback.read_feedback(d.spark, path, schema)
+
+
+@query("ml7_dns_feedback_file", ["v_dns_feedback"], f"select {', '.join(schemas.DNS_MODEL)} from v_dns_feedback where dns_sev = 3")
+def _(d):
+    return feedback.dns_feedback(_feedback_file(d, "v_dns_feedback", schemas.DNS_FEEDBACK, "dns-feedback"))
+
+
+@query("ml7_proxy_feedback_file", ["v_proxy_feedback"], f"select {', '.join(schemas.PROXY_MODEL)} from v_proxy_feedback where uri_sev = 3")
+def _(d):
+    return feedback.proxy_feedback(_feedback_file(d, "v_proxy_feedback", schemas.PROXY_FEEDBACK, "proxy-feedback"))
+
+
 def _flow_text(d, name):
     path = work_path(d.spark, name)
     d.view("v_flow").select(*_STAGING).write.csv(path)

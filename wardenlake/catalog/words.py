@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import addresses, domains, numeric, reputation, texts, timestamps
 from ..operators import corpus, validate
 from .registry import query
@@ -319,3 +320,10 @@ def _finish() -> None:
 
 
 _finish()
+
+
+@query("flt9_proxy_out_columns", ["v_proxy", "v_top_domains"], proxy_word_sql("v_proxy") + f"select {', '.join(schemas.PROXY_IN)}, word, ml_score as score from pw")
+def _(d):
+    rows = d.view("v_proxy")
+    words = corpus.with_proxy_word(rows, d.view("v_top_domains"), corpus.agent_counts(rows), ("corpnet",))
+    return words.withColumnRenamed("ml_score", "score").select(*schemas.PROXY_OUT)

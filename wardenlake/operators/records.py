@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import lookup_join
 
 # Names of the two netflow dialects.
@@ -71,9 +72,17 @@ def most_suspicious(df: DataFrame, limit: int, score: str = "score", keys=()) ->
 
 
 def ranked(top: DataFrame, score: str, keys=()) -> DataFrame:
-    """Zero-based rank in score order. Meant for a list that a limit has made short."""
-    w = Window.orderBy(F.col(score), *[F.col(k) for k in keys])
-    return top.withColumn("rank", (F.row_number().over(w) - 1).cast("int"))
+    """Zero-based rank in score order: places inside ranges of the order plus the rows of the ranges before, so a list
+    of any length is numbered in parallel."""
+    order = [F.col(score), *[F.col(k) for k in keys]]
+    rows = top.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = cut_lineage(rows)  # number of the range in the upper bits, place in it in the lower 33
+    sizes = rows.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.withColumn("_range", F.shiftright("_at", 33)).join(F.broadcast(starts), "_range")  # one row per range
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.withColumn("rank", (F.col("_before") + place).cast("int")).drop("_at", "_range", "_before")
 
 
 def first_per_key(df: DataFrame, keys, order, n: int) -> DataFrame:

@@ -117,16 +117,18 @@ def _links(items: DataFrame, buckets: DataFrame, width: int, percent: int) -> Da
     differences = F.when(F.col("near") | F.col("linked"), F.concat("gone", "new"))
     star = keep(met.select("lead", "x", "n", "r", "a", "linked", "near", differences.alias("differences")), "star")
 
+    to_leads = star.where("linked").select(F.col("lead").alias("a"), F.col("x").alias("b"))
     found = [
-        star.where("linked").select(F.col("lead").alias("a"), F.col("x").alias("b")),
-        _over_differences(star, percent),
+        to_leads,
+        _over_differences(star, components(to_leads), percent),
         _far_pairs(star, buckets, sets, percent),
     ]
     return reduce(DataFrame.union, found)
 
 
-def _over_differences(star: DataFrame, percent: int) -> DataFrame:
-    """Links between members near the same lead of which at least one does not link with it.
+def _over_differences(star: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between members near the same lead of which at least one does not link with it, but for pairs that the links with
+    leads connect already (``known(id, component)``).
 
     With the differences to the lead (r elements gone, a elements new) a pair (x, y) links if and only if
     (100 - p) n + (100 + p) o >= 100 (r_x + r_y) + p (a_x + a_y), where o counts the common differences. For an x
@@ -164,7 +166,11 @@ def _over_differences(star: DataFrame, percent: int) -> DataFrame:
     pairs = asks.select("lead", "part", "full", "x", *x).join(first.select("lead", "part", F.col("x").alias("y"), *y), ["lead", "part"])
     most = 1 + F.least("gone_left_x", "gone_left_y") + F.least("new_left_x", "new_left_y")
     enough = F.col("cost_x") + F.col("cost_y") - F.col("full") <= (100 + percent) * most
-    pairs = pairs.where((F.col("x") != F.col("y")) & enough).select("lead", "x", "y").distinct()
+    pairs = pairs.where((F.col("x") != F.col("y")) & enough).select("lead", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    pairs = pairs.groupBy("x", "y").agg(F.min("lead").alias("lead"))  # one lead decides a pair
+    for v in "xy":
+        pairs = pairs.join(known.select(F.col("id").alias(v), F.col("component").alias(f"at_{v}")), v, "left")
+    pairs = pairs.where(F.coalesce("at_x", "x") != F.coalesce("at_y", "y")).select("lead", "x", "y")
 
     side = [near.select("lead", F.col("x").alias(v), "n", *[F.col(c).alias(f"{c}_{v}") for c in ("r", "a", "differences")]) for v in "xy"]
     pairs = pairs.join(side[0], ["lead", "x"]).join(side[1].drop("n"), ["lead", "y"])

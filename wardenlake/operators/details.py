@@ -11,6 +11,9 @@ from .records import first_per_key
 
 DETAIL_LIMIT = 250
 
+#: Longest beginning of an asked name by which names are looked up.
+ANCHOR = 16
+
 
 def without_scored_flow(scores: DataFrame, threat: DataFrame) -> DataFrame:
     """Suspicious flows of which neither side equals a scored connection's side.
@@ -101,18 +104,26 @@ def pair_totals(flow: DataFrame) -> DataFrame:
     )
 
 
+def _anchor_length(length):
+    """Largest power of two up to ``length``, at most ``ANCHOR``; zero for an empty name."""
+    return F.when(length > 0, F.least(F.lit(ANCHOR), F.pow(F.lit(2), F.floor(F.log2(length))).cast("int"))).otherwise(F.lit(0))
+
+
 def _names_with(names: DataFrame, asked: DataFrame) -> DataFrame:
     """(day, hour, name, asked name) where the name contains the asked name.
 
-    They meet by equality: each distinct name of an hour with asked names gives its substrings of the lengths that are asked for.
+    They meet by equality on the beginning of the asked name, cut to a few lengths: each distinct name gives its substrings of
+    those lengths, and only substrings that begin an asked name go on to meet it in its hour, where the whole name decides.
     """
     when = ["y", "m", "d", "h"]
+    asked = asked.where(F.col("asked").isNotNull())
+    asked = asked.withColumn("anchor", F.substring("asked", F.lit(1), _anchor_length(F.length("asked"))))
+    anchors = cut_lineage(asked.select("anchor").distinct())
+    lengths = sorted(r[0] for r in anchors.select(F.length("anchor")).distinct().collect())  # one per power of two
     names = names.join(asked.select(*when).distinct(), when, "left_semi")
-    # At most 253 lengths exist for legal names, so this list is short.
-    lengths = sorted(r[0] for r in asked.select(F.length("asked")).distinct().collect())
     pieces = F.flatten(
         F.transform(
-            F.array(*[F.lit(n) for n in lengths]),
+            F.array(*[F.lit(n) for n in lengths]).cast("array<int>"),
             lambda n: F.when(
                 F.length("dns_qry_name") >= n,
                 F.transform(
@@ -122,8 +133,11 @@ def _names_with(names: DataFrame, asked: DataFrame) -> DataFrame:
             ).otherwise(F.array().cast("array<string>")),
         )
     )
-    cut = names.withColumn("asked", F.explode(F.array_distinct(pieces)))
-    return cut.join(asked, [*when, "asked"])
+    cut = names.withColumn("anchor", F.explode(F.array_distinct(pieces)))
+    cut = lookup_join(cut, anchors, "anchor", "left_semi")
+    # The substrings look small to the planner; only a measured side may be broadcast.
+    met = cut.join(F.broadcast(asked) if is_small(asked) else asked.hint("merge"), [*when, "anchor"])
+    return met.where(F.contains("dns_qry_name", "asked")).select(*when, "dns_qry_name", "asked")
 
 
 def dns_edges(dns: DataFrame, suspicious: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:

@@ -1,8 +1,16 @@
 """Rows of operators that were changed to grow with their input."""
 
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from wardenlake.operators import details
+from conftest import SF
+from test_filters import FLOW, GOOD
+from wardenlake import catalog
+from wardenlake.operators import corpus, details, topics
+from wardenlake.operators.detectors import oneclass
+from wardenlake.plans import suspicious
 
 
 def test_asked_names_of_all_lengths_meet_the_names_that_contain_them(spark):
@@ -16,3 +24,41 @@ def test_asked_names_of_all_lengths_meet_the_names_that_contain_them(spark):
     assert found == {(n, a, 1) for n in names for a in asked if n is not None and a is not None and a in n}
     lengths = [r[0] for r in spark.range(0, 250).select(details._anchor_length(F.col("id"))).distinct().collect()]
     assert sorted(lengths) == [0, 1, 2, 4, 8, 16]
+
+
+def test_entry_sums_read_stored_entries_only(spark):
+    rows = spark.createDataFrame(
+        [("a", Vectors.sparse(2**30, [1, 5], [2.0, 3.0])), ("b", Vectors.sparse(2**30, [], []))], ["doc", "features"]
+    )
+    found = rows.select("doc", topics.entry_sums("features").alias("s")).select("doc", "s.*").collect()
+    assert sorted(map(tuple, found)) == [("a", 2, 5.0), ("b", 0, 0.0)]
+
+
+def test_scores_of_several_models_come_from_one_look_up(spark):
+    words = flow_words_of(spark)
+    one = topics.TopicModel(1, words.selectExpr("doc", "array(1.0D) as mix").distinct(), words.selectExpr("word", "array(0.5D) as probs").distinct())
+    two = topics.TopicModel(1, one.doc_topics, words.selectExpr("word", "array(0.25D) as probs").distinct())
+    flow = spark.createDataFrame([tuple(GOOD.values())] * 2, FLOW)
+    scored = suspicious.score_flow(flow, {"score": one, "trained": two})
+    assert set(scored.columns) == {*flow.columns, "score", "trained"}
+    assert [(r.score, r.trained) for r in scored.collect()] == [(0.5, 0.25)] * 2
+    assert [r.score for r in suspicious.score_flow(flow, two).collect()] == [0.25] * 2
+
+
+def flow_words_of(spark):
+    return corpus.flow_corpus(spark.createDataFrame([tuple(GOOD.values())], FLOW))
+
+
+@pytest.mark.parametrize("name", ["jn1_fn29_scored_flow", "jn2_jn4_scored_dns", "jn3_scored_proxy", "ml14_saved_model"])
+def test_scored_queries_fit_topics(spark, monkeypatch, name):
+    fitted = []
+    fit = suspicious.fit_topics
+    monkeypatch.setattr(suspicious, "fit_topics", lambda *a, **k: fitted.append(a[1]) or fit(*a, **k))
+    rows = catalog.queries()[name](spark, SF)
+    assert fitted == [5] and rows.where("not is_probability or is_probability is null").isEmpty()
+
+
+def test_cosine_of_turns():
+    u = np.random.default_rng(3).uniform(-400, 400, (50, 7))
+    assert np.abs(oneclass.cosine_of_turns(u.copy()) - np.cos(2 * np.pi * u)).max() < 1e-11
+    assert oneclass.cosine_of_turns(np.array([0.0, 0.25, 0.5, -0.5, 1.0])) == pytest.approx([1, 0, -1, -1, 1], abs=1e-14)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF
 from test_filters import FLOW, GOOD
 from wardenlake import catalog
-from wardenlake.operators import corpus, details, topics
+from wardenlake.operators import corpus, details, joins, topics
 from wardenlake.operators.detectors import oneclass
 from wardenlake.plans import suspicious
 
@@ -62,3 +62,38 @@ def test_cosine_of_turns():
     u = np.random.default_rng(3).uniform(-400, 400, (50, 7))
     assert np.abs(oneclass.cosine_of_turns(u.copy()) - np.cos(2 * np.pi * u)).max() < 1e-11
     assert oneclass.cosine_of_turns(np.array([0.0, 0.25, 0.5, -0.5, 1.0])) == pytest.approx([1, 0, -1, -1, 1], abs=1e-14)
+
+
+def test_possible_matches_lose_none(spark):
+    keys = spark.range(0, 3000).selectExpr("cast(id * 7 as string) as a", "cast(id % 5 as int) as b")
+    rows = spark.range(0, 30000).selectExpr("if(id = 3, null, cast(id as string)) as a", "cast(id / 7 as int) % 5 as b", "id")
+    near = joins.possible_matches(rows, keys, ["a", "b"])
+    assert near.columns == rows.columns
+    wanted = rows.join(keys, ["a", "b"], "left_semi")
+    assert wanted.exceptAll(near).isEmpty() and wanted.count() <= near.count() < 2 * wanted.count()
+
+
+ENDS = [("a", "b"), ("b", "a"), ("a", "c"), ("c", "c"), ("c", "d"), ("d", "e"), (None, "a"), ("b", None), ("a", "b")]
+
+
+def addressed(spark):
+    rows = [(f"2024-01-02 03:04:0{i}", s, t, 1, 22, "TCP", i, 10 * i) for i, (s, t) in enumerate(ENDS)]
+    return spark.createDataFrame(rows, "treceived string, sip string, dip string, sport int, dport int, proto string, ipkt long, ibyt long")
+
+
+def test_long_lists_find_what_short_lists_find(spark, monkeypatch):
+    flow = addressed(spark).selectExpr(
+        "*", "2024 as y", "1 as m", "2 as d", "3 as h", "4 as trminute", "'' as flag", "0 as stos", "1 as input", "2 as output", "'' as rip",
+        "0L as obyt", "0L as opkt")
+    scores = flow.where("ipkt <> 4").selectExpr("treceived as tstart", "sip as srcip", "dip as dstip")
+    anchors = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "c"), ("c", "d"), ("e", "d"), ("a", None), (None, "a")], "ip_threat string, peer string")
+    results = []
+    filtered = []
+    through = details.possible_matches
+    monkeypatch.setattr(details, "possible_matches", lambda *a: filtered.append(1) or through(*a))
+    for small in (True, False):
+        monkeypatch.setattr(details, "is_small", lambda df, small=small: small)
+        found = details.flow_edges(flow, scores), details.chords(flow, scores), details.flow_timeline(flow, anchors)
+        results.append([(df.columns, sorted(map(str, df.collect()))) for df in found])
+    assert results[0] == results[1] and all(rows for _, rows in results[0])
+    assert len(filtered) == 3

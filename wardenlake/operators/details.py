@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import is_small, lookup_join
+from .joins import is_small, lookup_join, possible_matches
 from .records import first_per_key
 
 DETAIL_LIMIT = 250
@@ -39,9 +39,15 @@ def flow_edges(flow: DataFrame, suspicious: DataFrame) -> DataFrame:
     asked = suspicious.select(
         *_pair("srcip", "dstip"),
         *[F.get(when, F.lit(i)).cast("int").alias(c) for i, c in enumerate(("y", "m", "d", "h", "trminute"))],
-    ).distinct()
+    )
+    asked = cut_lineage(asked.distinct())
     rows = flow.withColumns({"ip_low": F.least("sip", "dip"), "ip_high": F.greatest("sip", "dip")})
-    hits = lookup_join(rows, asked, ["ip_low", "ip_high", "y", "m", "d", "h", "trminute"], "left_semi")
+    keys = ["ip_low", "ip_high", "y", "m", "d", "h", "trminute"]
+    if is_small(asked):
+        asked = F.broadcast(asked)
+    else:
+        rows = possible_matches(rows, asked, keys)
+    hits = rows.join(asked, keys, "left_semi")
     return hits.select(
         F.col("treceived").alias("tstart"), F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "sport", "dport",
         "proto", F.col("flag").alias("flags"), F.col("stos").alias("tos"), "ibyt", "ipkt", "input", "output", "rip",
@@ -73,18 +79,35 @@ def threat_peers(suspicious: DataFrame) -> DataFrame:
 def chords(flow: DataFrame, suspicious: DataFrame) -> DataFrame:
     """Traffic between a threat address and its suspicious peers, summed per direction.
 
-    A short list of pairs picks its flows before anything is shuffled. With a long
-    list the flows are first summed per pair, so that a busy pair is one row.
+    A short list of pairs picks its flows before anything is shuffled. With a long list the flows that may be between
+    listed addresses are first summed per pair of addresses, so that a busy pair is one row, and meet the list once for
+    both directions.
     """
     peers = threat_peers(suspicious).select("ip_threat", "peer")
-    if not is_small(peers):
-        totals = _either_side(pair_totals(flow), peers, "ip_threat", "peer")
-        return totals.select("ip_threat", "srcip", "dstip", "ibyt", "ipkt")
     rows = flow.select(F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "ibyt", "ipkt")
+    if not is_small(peers):
+        sums = [F.sum("ibyt").alias("ibyt"), F.sum("ipkt").alias("ipkt")]
+        return _between(rows, peers, [], sums).select("ip_threat", "srcip", "dstip", "ibyt", "ipkt")
     hits = _either_side(rows, F.broadcast(peers), "ip_threat", "peer")
     return hits.groupBy("ip_threat", "srcip", "dstip").agg(F.sum("ibyt").alias("ibyt"), F.sum("ipkt").alias("ipkt"))
 
 
+def _between(rows: DataFrame, pairs: DataFrame, keys, figures) -> DataFrame:
+    """Figures per (ip_threat, srcip, dstip, *keys) of the rows between the two addresses of a long list of distinct pairs
+    (ip_threat, peer).
+
+    Rows that no pair can match stay at home. The others are grouped first, so that a busy pair is few rows, and meet the
+    list, which has one row for both directions, once.
+    """
+    ends = ["ip_low", "ip_high"]
+    listed = pairs.where("ip_threat is not null and peer is not null").select(*_pair("ip_threat", "peer"), "ip_threat")
+    listed = cut_lineage(listed.groupBy(*ends).agg(F.collect_set("ip_threat").alias("threats")))
+    rows = rows.where("srcip is not null and dstip is not null").withColumns(dict(zip(ends, _pair("srcip", "dstip"))))
+    rows = possible_matches(rows, listed, ends)
+    groups = rows.groupBy(*ends, "srcip", "dstip", *keys).agg(*figures)
+    return groups.join(listed, ends).withColumn("ip_threat", F.explode("threats")).drop(*ends, "threats")
+
+
 def _either_side(totals: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Rows (srcip, dstip) matched with pairs (a, b) in either direction, each once."""
     turned = F.array_distinct(
@@ -193,7 +216,7 @@ def flow_timeline(flow: DataFrame, anchors: DataFrame, limit: int = 1000) -> Dat
     if is_small(anchors):
         hits = _either_side(rows, F.broadcast(anchors), "ip_threat", "peer").groupBy("ip_threat", *keys).agg(*span)
     else:
-        hits = _either_side(rows.groupBy(*keys).agg(*span), anchors, "ip_threat", "peer")
+        hits = _between(rows, anchors, keys[2:], span)
     order = [F.col(c) for c in ("tstart", "tend", "srcip", "dstip", "proto", "sport", "dport", "ipkt", "ibyt")]
     top = first_per_key(hits, ["ip_threat"], order, limit)
     return top.select("ip_threat", "tstart", "tend", "srcip", "dstip", "proto", "sport", "dport", "ipkt", "ibyt")

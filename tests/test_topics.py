@@ -1,7 +1,9 @@
 import pytest
 
 from test_filters import DNS, DNS_GOOD, FLOW, GOOD
+from wardenlake.operators import topics
 from wardenlake.operators.topics import TopicModel, fit_topics, score_pairs
+from wardenlake.plans import suspicious
 from wardenlake.plans.suspicious import Settings, dns_suspicious_connects, flow_suspicious_connects, proxy_suspicious_connects
 from wardenlake import schemas
 from wardenlake.session import work_path
@@ -63,6 +65,31 @@ def test_scores_of_unseen_and_error_words(spark):
     assert got["a", "word_error"][0] == -1.0
 
 
+def odd_flows(spark):
+    """Flows with known and unknown ends, an error word and null addresses, and two models of which one lacks words."""
+    changes = [{}, {}, {"sip": "9.9.9.9"}, {"sport": None}, {"sip": None}, {"dip": None}, {"dip": "8.8.8.8", "ibyt": 10**6}]
+    flows = spark.createDataFrame([tuple({**GOOD, **c}.values()) for c in changes], FLOW)
+    model = fit_topics(suspicious.bags.flow_corpus(flows.limit(1)), k=2, seed=1, max_iter=3)
+    return flows, {"score": model, "other": TopicModel(2, model.doc_topics, model.word_topics.limit(1))}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_models_are_looked_up_without_a_shuffle_of_records(spark, monkeypatch):
+    flows, models = odd_flows(spark)
+    straight = suspicious.score_flow(flows, models)
+    assert "Exchange hashpartitioning" not in plan_of(straight) and "SortMergeJoin" not in plan_of(straight)
+    clients = flows.selectExpr("sip as client", "case when sport is null then 'word_error' else proto end as word")
+    words = TopicModel(2, models["score"].doc_topics, spark.createDataFrame([(GOOD["proto"], [0.5, 0.25])], "word string, probs array<double>"))
+    of_clients = suspicious._score_client(clients, words, "client")
+    monkeypatch.setattr(suspicious, "is_small_model", lambda model: False)
+    for a, b in ((straight, suspicious.score_flow(flows, models)), (of_clients, suspicious._score_client(clients, words, "client"))):
+        assert sorted(a.columns) == sorted(b.columns)
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+
+
 def test_feedback_raises_the_score(spark):
     rows = spark.createDataFrame([tuple({**GOOD, "trhour": h}.values()) for h in [0] + [13] * 9], FLOW)
     judged = spark.createDataFrame([tuple({**GOOD, "trhour": 0}.values())], FLOW).select(*schemas.FLOW_MODEL)

@@ -44,10 +44,9 @@ def flow_edges(flow: DataFrame, suspicious: DataFrame) -> DataFrame:
     rows = flow.withColumns({"ip_low": F.least("sip", "dip"), "ip_high": F.greatest("sip", "dip")})
     keys = ["ip_low", "ip_high", "y", "m", "d", "h", "trminute"]
     if is_small(asked):
-        asked = F.broadcast(asked)
-    else:
-        rows = possible_matches(rows, asked, keys)
-    hits = rows.join(asked, keys, "left_semi")
+        hits = rows.join(F.broadcast(asked), keys, "left_semi")
+    else:  # a key is asked once; a semi join would be pushed below the filter
+        hits = possible_matches(rows, asked, keys).join(asked, keys)
     return hits.select(
         F.col("treceived").alias("tstart"), F.col("sip").alias("srcip"), F.col("dip").alias("dstip"), "sport", "dport",
         "proto", F.col("flag").alias("flags"), F.col("stos").alias("tos"), "ibyt", "ipkt", "input", "output", "rip",

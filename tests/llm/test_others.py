@@ -135,3 +135,12 @@ def test_pipeline_keeps_columns_and_documents(engine, odd):
     assert len(kept) > 0.7 * table(engine, SF, "documents").count()
     for _, stage in corpus_pipeline.STAGES:
         stage(engine, odd, SF).count()
+
+
+def test_window_keys_tell_the_readings_apart(spark):
+    items = spark.createDataFrame([(1, "she has seen 5 km and 7% of it near Bob Alice, Ana 9 km ago")], "item_id long, text string")
+    rows = decontamination.item_windows(items).collect()
+    keys = {n: {r["key"] for r in rows if r["reading"] == n} for n in (1, 2)}
+    assert keys[1] and len(keys[1]) == len(keys[2]) and not keys[1] & keys[2]  # one number names window and reading
+    words = [w for r in rows if r["reading"] == 1 for w in r["item_words"]]
+    assert {decontamination.UNIT + u for u in ("km", "%")} | {decontamination.NAME + n for n in ("Bob Alice", "Ana")} <= set(words)

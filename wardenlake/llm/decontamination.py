@@ -46,8 +46,9 @@ def tokens(text: Column) -> Column:
     and as start elsewhere; in a start the mark of a name stands in front of the part that is a name in both readings. A unit
     behind a number is marked as unit; a number is one token."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT + START + PLAIN, "")
-    named = F.regexp_replace(plain, f"(?<=[\\p{{L}}\\p{{N}},;:] )({_CAPITAL})", f"{NAME}$1")
-    marked = F.regexp_replace(named, f"(?i)(?<=[0-9] ?)({UNITS})(?![\\p{{L}}\\p{{N}}])", f"{UNIT}$1")
+    # both begin with one character that few places have: a look behind at every place costs more
+    named = F.regexp_replace(plain, f" (?<=[\\p{{L}}\\p{{N}},;:] )({_CAPITAL})", f" {NAME}$1")
+    marked = F.regexp_replace(named, f"(?i)([0-9] ?)({UNITS})(?![\\p{{L}}\\p{{N}}])", f"$1{UNIT}$2")
     begun = f"\\p{{Lu}}\\p{{L}}*+(?![\\p{{L}}\\p{{N}}])(?: {NAME}{_CAPITAL})?+"
     each = f"{NAME}{_CAPITAL}|{UNIT}(?:%|\\p{{L}}++)|[0-9]++(?:[.,:/-][0-9]++)*+|{begun}|{_WORD}++"
     words = F.regexp_extract_all(marked, F.lit(each), F.lit(0))
@@ -65,15 +66,15 @@ def first_reading(words: Column) -> Column:
     return F.flatten(F.transform(words, parts))
 
 
-def canonical(words: Column) -> Column:
-    """Tokens with placeholders for names, numbers and units; other words in lower case."""
+def _form(word: Column) -> Column:
+    first = F.substring(word, 1, 1)
+    placeholder = F.when(first.isin(NAME, START, PLAIN), NAME).when(first == UNIT, UNIT).when(first.between("0", "9"), NUMBER)
+    return F.coalesce(placeholder, F.lower(word))
 
-    def one(word: Column) -> Column:
-        first = F.substring(word, 1, 1)
-        placeholder = F.when(first.isin(NAME, START, PLAIN), NAME).when(first == UNIT, UNIT).when(first.between("0", "9"), NUMBER)
-        return F.coalesce(placeholder, F.lower(word))
 
-    return F.transform(words, one)
+def canonical(words: Column) -> Column:
+    """Tokens with placeholders for names, numbers and units; other words in lower case."""
+    return F.transform(words, _form)
 
 
 def _first_word(word: Column) -> Column:
@@ -104,8 +105,13 @@ def _starts(size: Column, window: Column | int) -> Column:
     return F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(1))).otherwise(F.array().cast("array<int>"))
 
 
-def _hash_at(forms: Column, at: Column, window: Column | int) -> Column:
-    return F.xxhash64(F.slice(forms, at, window))
+def _codes(words: Column) -> Column:
+    """Hashes of the canonical tokens: every token is hashed once and not by each of its windows."""
+    return F.transform(words, lambda w: F.xxhash64(_form(w)))
+
+
+def _key_at(codes: Column, at: Column, window: Column | int, reading: Column) -> Column:
+    return F.xxhash64(F.slice(codes, at, window), reading)
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -116,11 +122,11 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = rows.select("item_id", F.lit(1).alias("reading"), first_reading(F.col("words")).alias("words")).union(
         _hold_plain(rows).select("item_id", F.lit(2).alias("reading"), "words")
     )
-    rows = rows.withColumn("forms", canonical(F.col("words"))).withColumn("size", F.size("words")).where("size > 0")
+    rows = rows.withColumn("codes", _codes(F.col("words"))).withColumn("size", F.size("words")).where("size > 0")
     rows = rows.withColumn("width", F.least("size", F.lit(window)))
     rows = rows.select("*", F.explode(_starts(F.col("size"), F.col("width"))).alias("at"))
     rows = rows.select(
-        "item_id", "reading", "width", "at", _hash_at(F.col("forms"), F.col("at"), F.col("width")).alias("key"),
+        "item_id", "reading", "width", "at", _key_at(F.col("codes"), F.col("at"), F.col("width"), F.col("reading")).alias("key"),
         (F.col("size") - F.col("width") + 1).alias("n_windows"), F.slice("words", "at", "width").alias("item_words"),
     )
     literal = F.filter("item_words", lambda w: ~F.substring(w, 1, 1).isin(NAME, START, UNIT) & ~F.substring(w, 1, 1).between("0", "9"))
@@ -140,7 +146,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     """
     items = keep(item_windows(benchmark, window), "item-windows")
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most ``window`` numbers
-    keys = small(keep(items.select("reading", "key").distinct(), "item-keys"))
+    keys = small(keep(items.select("key").distinct(), "item-keys"))
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not widths:
         return rows.limit(0).select(
@@ -150,18 +156,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
 
     def windows(text: DataFrame, carried: list[str]) -> DataFrame:
         read = text.withColumn("second", tokens(F.col("text"))).withColumn("first", first_reading(F.col("second")))
-        both = [F.struct(F.lit(n).alias("reading"), F.col(c).alias("words"), canonical(F.col(c)).alias("forms")) for n, c in ((1, "first"), (2, "second"))]
+        both = [F.struct(F.lit(n).alias("reading"), F.col(c).alias("words"), _codes(F.col(c)).alias("codes")) for n, c in ((1, "first"), (2, "second"))]
         forms = read.select("doc_id", F.explode(F.array(*both)).alias("r")).select("doc_id", "r.*")
         # nothing interpreted from here on: a row of every place would hold a copy of its text
-        begun = forms.select(*carried, "forms", F.explode(_starts(F.size("forms"), widths[0])).alias("at"))
-        begun = begun.select("*", F.explode(F.array(*[F.lit(w) for w in widths])).alias("width")).where("at + width - 1 <= size(forms)")
-        return begun.select(*carried, "at", "width", _hash_at(F.col("forms"), F.col("at"), F.col("width")).alias("key"))
+        begun = forms.select(*carried, "codes", F.explode(_starts(F.size("codes"), widths[0])).alias("at"))
+        begun = begun.select("*", F.explode(F.array(*[F.lit(w) for w in widths])).alias("width")).where("at + width - 1 <= size(codes)")
+        return begun.select(*carried, "at", "width", _key_at(F.col("codes"), F.col("at"), F.col("width"), F.col("reading")).alias("key"))
 
     looked = windows(rows, ["doc_id", "reading"])
-    candidates = small(keep(looked.join(keys, ["reading", "key"], "left_semi").select("doc_id").distinct(), "candidates"))
+    candidates = small(keep(looked.join(keys, "key", "left_semi").select("doc_id").distinct(), "candidates"))
     near = rows.join(candidates, "doc_id", "left_semi").distinct()
     found = windows(near, ["doc_id", "reading", "words"])
-    found = found.join(keys, ["reading", "key"], "left_semi").withColumn("words", F.slice("words", F.col("at"), F.col("width")))
+    found = found.join(keys, "key", "left_semi").withColumn("words", F.slice("words", F.col("at"), F.col("width")))
     met = found.join(small(items.withColumnRenamed("at", "item_at")), ["reading", "key", "width"])
 
     both = F.arrays_zip(F.col("item_words").alias("item"), F.col("words").alias("doc"))

@@ -162,6 +162,21 @@ def test_passages_of_odd_rows(odd, empty):
     assert substring_dedup.repeated_paragraphs(empty).count() == 0
 
 
+def test_lines_are_numbered_without_a_shuffle_of_their_texts(engine, monkeypatch):  # noqa: F811
+    plans = []
+
+    def seen(items, *args):
+        plans.append(items._jdf.queryExecution().executedPlan().toString())
+        return similar(items, *args)
+
+    similar = substring_dedup.similar
+    monkeypatch.setattr(substring_dedup, "similar", seen)
+    line = " ".join(f"w{k}" for k in range(40))
+    docs = engine.createDataFrame([(1, line), (2, line), (2, line), (3, "short")], "doc_id long, text string")
+    assert [(r.doc_id, r.start, r.words, r.keeper_doc_id) for r in substring_dedup.repeated_paragraphs(docs).collect()] == [(2, 0, 40, 1)]
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
 def test_templates_with_variable_fields_are_cut(engine):
     draw = random.Random(8)
     rows = [(k, f"{sentence(draw)}\nVisit shop{k}@example.com for order {k} today please\n{sentence(draw)}") for k in range(30)]

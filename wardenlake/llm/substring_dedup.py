@@ -123,7 +123,7 @@ def sentences(docs: DataFrame) -> DataFrame:
 
 
 def lines(docs: DataFrame, least: int = LINE_WORDS) -> DataFrame:
-    """(id, doc_id, start, words, text) of the lines with at least ``least`` words; ``start`` is the first word."""
+    """(doc_id, start, words, text) of the lines with at least ``least`` words; ``start`` is the first word."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,8 +140,7 @@ def lines(docs: DataFrame, least: int = LINE_WORDS) -> DataFrame:
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], ["doc_id", "start", "words", "text"])
 
-    made = map_batches(docs.select("doc_id", "text"), cut, "doc_id long, start int, words int, text string")
-    return made.withColumn("id", F.xxhash64("doc_id", "start"))
+    return map_batches(docs.select("doc_id", "text"), cut, "doc_id long, start int, words int, text string")
 
 
 _SPACES = {0x09: " ", 0x0A: " ", 0x0B: " ", 0x0C: " ", 0x0D: " "}
@@ -169,16 +168,18 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     same = same.join(small(keep(keepers, "keepers")), "key")
     same = same.select("doc_id", "start", "words", F.col("first").alias("keeper"), "keeper_start", F.col("key").alias("cluster"), "stretch")
 
-    # lines that are similar to lines of other documents
-    named = keep(lines(rows), "lines")
-    groups = keep(similar(named.dropDuplicates(["id"]), WIDTH, PERCENT, BANDS).select("id", "component"), "line-groups")
+    # lines that are similar to lines of other documents; every line is numbered as it is written, so that no text is shuffled
+    named = keep(lines(rows).withColumn("id", F.monotonically_increasing_id()), "lines")
+    groups = keep(similar(named, WIDTH, PERCENT, BANDS).select("id", "component"), "line-groups")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("component")
-    placed = named.select("id", "doc_id", "start", "words").distinct().join(groups.join(sizes, "component"), "id")
+    placed = named.select("id", "doc_id", "start", "words").join(groups.join(sizes, "component"), "id")
     placed = keep(placed, "line-members")
-    first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last"))
+    first = placed.groupBy("component").agg(
+        F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("last"), F.min(F.xxhash64("doc_id", "start")).alias("cluster")
+    )
     first = first.where("first.doc_id <> last")
     alike = placed.join(small(keep(first, "line-keepers")), "component").select(
-        "doc_id", "start", "words", F.col("first.doc_id").alias("keeper"), F.col("first.start").alias("keeper_start"), F.col("component").alias("cluster"),
+        "doc_id", "start", "words", F.col("first.doc_id").alias("keeper"), F.col("first.start").alias("keeper_start"), "cluster",
         F.lit(False).alias("stretch"),
     )
 

@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from test_filters import DNS, DNS_GOOD, FLOW, GOOD
 from wardenlake.operators import topics
+from wardenlake.operators.indexing import dense_index
 from wardenlake.operators.topics import TopicModel, fit_topics, score_pairs
 from wardenlake.plans import suspicious
 from wardenlake.plans.suspicious import Settings, dns_suspicious_connects, flow_suspicious_connects, proxy_suspicious_connects
@@ -108,3 +110,15 @@ def test_save_and_load(spark):
 def test_unknown_optimizer(spark):
     with pytest.raises(ValueError):
         fit_topics(spark.createDataFrame([("a", "b", 1)], CORPUS), optimizer="gibbs")
+
+
+def test_dense_index_reads_its_input_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(word):
+        read.add(1)
+        return word
+
+    words = spark.range(100).select(F.udf(seen, "string")(F.col("id").cast("string")).alias("word"))
+    assert sorted(r.idx for r in dense_index(words, "word").collect()) == list(range(100))
+    assert read.value == 100

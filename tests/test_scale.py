@@ -1,16 +1,23 @@
 """Rows of operators that were changed to grow with their input."""
 
+import pathlib
+
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from conftest import SF
 from test_filters import FLOW, GOOD
 from wardenlake import catalog
-from wardenlake.operators import corpus, details, joins, topics
-from wardenlake.operators.detectors import oneclass
-from wardenlake.plans import suspicious
+from wardenlake.catalog import streams
+from wardenlake.catalog.features import detector_features
+from wardenlake.operators import classify, corpus, details, joins, topics
+from wardenlake.operators.detectors import autoencoder, forest, oneclass
+from wardenlake.plans import detector_runs, netflow_features, suspicious
+from wardenlake.session import cut_to_files, shared_dir
 
 
 def test_asked_names_of_all_lengths_meet_the_names_that_contain_them(spark):
@@ -97,3 +104,51 @@ def test_long_lists_find_what_short_lists_find(spark, monkeypatch):
         results.append([(df.columns, sorted(map(str, df.collect()))) for df in found])
     assert results[0] == results[1] and all(rows for _, rows in results[0])
     assert len(filtered) == 3
+
+
+def test_large_tables_between_steps_are_files(spark, data):
+    words = flow_words_of(spark)
+    one = topics.TopicModel(1, words.selectExpr("doc", "array(1.0D) as mix").distinct(), words.selectExpr("word", "array(0.5D) as probs").distinct())
+    assert suspicious._pair_scores(words.select("doc", "word"), {"score": one, "trained": one}).inputFiles()
+    rows = detector_features(data)
+    assert rows.inputFiles() and rows.count() == netflow_features.consolidate(data.view("v_flow")).count()
+    assert forest.fit_predict_forest(rows, trees=3)[1].inputFiles()
+    assert detector_runs.Spread().transform(data.view("v_flow")).inputFiles()
+    steps = spark.range(4).selectExpr("array(double(id), 1.0D) as features")
+    assert oneclass.fit_predict_one_class(steps, nu=0.5, steps=2, components=4)[1].inputFiles()
+    assert autoencoder.fit_outliers(steps, hidden=2, epochs=1, steps=1)[1].inputFiles()
+
+
+def test_cut_to_files_keeps_rows_and_types(spark):
+    rows = spark.createDataFrame([("a", Vectors.sparse(3, [1], [2.0])), (None, None)], ["name", "v"]).selectExpr(
+        "name", "v", "array(1.0D, null) as x", "map('k', 1) as m", "struct(cast(1 as decimal(5, 2)) as d, date'2024-01-02' as t) as s")
+    kept = cut_to_files(rows)
+    assert kept.inputFiles() and kept.dtypes == rows.dtypes
+    assert sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_a_model_is_measured_once(spark, monkeypatch):
+    words, measured = flow_words_of(spark), []
+    model = topics.TopicModel(1, words.selectExpr("doc", "array(1.0D) as mix").distinct(), words.selectExpr("word", "array(0.5D) as probs").distinct())
+    monkeypatch.setattr(topics, "is_small", lambda df: measured.append(1) or True)
+    flow = spark.createDataFrame([tuple(GOOD.values())], FLOW)
+    assert [suspicious.score_flow(flow, model).first().score for _ in range(3)] == [0.5] * 3 and len(measured) == 2
+
+
+def test_files_of_a_stream_have_small_row_groups(spark, data, monkeypatch):
+    asked = []
+    monkeypatch.setattr(streams, "_run", lambda writer: asked.append(writer))
+    rows = spark.range(0, 3_000_000, 1, 1).selectExpr("id", "xxhash64(id) as h")
+    with pytest.raises(AnalysisException):  # nothing was streamed, so nothing can be read
+        streams._live(data, rows, lambda batch: batch, "small-groups")
+    folder = max(pathlib.Path(shared_dir(spark)).glob("work/small-groups-in-*"), key=lambda p: p.stat().st_mtime)
+    assert max(pq.ParquetFile(f).metadata.num_row_groups for f in folder.glob("*.parquet")) > 2
+
+
+def test_folds_keep_only_the_columns_of_the_pipeline(spark, monkeypatch):
+    rows = spark.range(60).selectExpr("if(id % 2 = 0, 'a', 'b') as Class", "'TCP' as pr", "id % 7 as sp", "id % 2 as dp", "id as ipkt", "id as ibyt", "repeat('x', 50) as other")
+    seen = []
+    through = classify.CrossValidator.fit
+    monkeypatch.setattr(classify.CrossValidator, "fit", lambda self, df: seen.append(df.columns) or through(self, df))
+    _, scores = classify.cross_validated_forest(rows, trees=2, folds=2, depths=(2,), subsets=("auto",))
+    assert seen == [["Class", "pr", "sp", "dp", "ipkt", "ibyt"]] and scores == [1.0]

@@ -1,5 +1,6 @@
 """Language, decontamination, code search, web archives, the pipeline and the registered SQL."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,19 @@ def test_window_keys_tell_the_readings_apart(spark):
     assert keys[1] and len(keys[1]) == len(keys[2]) and not keys[1] & keys[2]  # one number names window and reading
     words = [w for r in rows if r["reading"] == 1 for w in r["item_words"]]
     assert {decontamination.UNIT + u for u in ("km", "%")} | {decontamination.NAME + n for n in ("Bob Alice", "Ana")} <= set(words)
+
+
+def test_codes_of_whole_batches_are_those_of_single_vectors(engine):
+    vectors = [[float((i * 37 + j * j) % 11 - 5) for j in range(70)] for i in range(40)]
+    rows = engine.createDataFrame(list(enumerate(vectors)), "id long, vector array<float>").coalesce(1)
+    odd_one = engine.createDataFrame([(99, [1.0, None, -1.0])], "id long, vector array<float>").coalesce(1)
+    whole = {tuple(map(str, r)) for r in topk_search._codes(rows, 9).collect()}
+    mixed = {tuple(map(str, r)) for r in topk_search._codes(rows.union(odd_one).coalesce(1), 9).collect()}
+    assert len(whole) == 40 and mixed - whole == {("99", "3", "[1]", "[1]")} and whole < mixed
+
+
+def test_vectors_of_one_length_are_a_matrix_of_signs():
+    signs = topk_search._equal_lengths(pa.array([[1.0, -1.0], [0.0, 2.0], [3.0, 4.0]]).slice(1))
+    assert signs.tolist() == [[False, True], [True, True]]
+    for other in ([[1.0], [1.0, 2.0]], [[1.0, None]], [[1.0], None], [[], []], []):
+        assert topk_search._equal_lengths(pa.array(other, pa.list_(pa.float64()))) is None

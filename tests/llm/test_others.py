@@ -161,3 +161,10 @@ def test_vectors_of_one_length_are_a_matrix_of_signs():
     assert signs.tolist() == [[False, True], [True, True]]
     for other in ([[1.0], [1.0, 2.0]], [[1.0, None]], [[1.0], None], [[], []], []):
         assert topk_search._equal_lengths(pa.array(other, pa.list_(pa.float64()))) is None
+
+
+def test_probes_of_one_file_are_dealt_to_all_tasks(engine, monkeypatch):
+    rows = engine.createDataFrame([(i, [1.0 if i >> j & 1 else -1.0 for j in range(8)]) for i in range(40)], "vec_id long, embedding array<double>")
+    parts, through = [], topk_search.shuffle_parts
+    monkeypatch.setattr(topk_search, "shuffle_parts", lambda spark: parts.append(1) or through(spark))
+    assert topk_search.search(rows, k=2).count() == 4 and parts
